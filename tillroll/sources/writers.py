@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import redirect_stdout
 from dataclasses import dataclass
 
@@ -70,24 +70,34 @@ def flags_to_int(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Published:
+    """Paths of one published result and its rows, ready for drawing."""
+
     name: str
     csv_path: str
     plan_path: str
     rows: pd.DataFrame
+    chart_path: str | None = None
 
 
 def publish(df: DataFrame, name: str, folder: str, title: str | None = None,
+            chart: Callable[[DataFrame], DataFrame] | None = None,
             max_rows: int = MAX_RESULT_ROWS) -> Published:
-    """Write plan report and CSV of one small result and return its rows for drawing.
+    """Write plan report and CSV of one small result, and of its chart shape if there is one.
 
-    The result is computed once. The size is checked before the single-file
+    The result is computed once and its size is checked before the single-file
     write, so an oversized frame never passes through one task.
     """
-    plan_path = append_plan_report(df, f"{folder.rstrip('/')}/plans", title or name)
+    folder = folder.rstrip("/")
+    plan_path = append_plan_report(df, f"{folder}/plans", title or name)
     kept = df.persist()
     try:
         rows = bounded_pandas(flags_to_int(kept), name, max_rows)
-        csv_path = write_result_csv(kept, f"{folder.rstrip('/')}/csv", name)
+        csv_path = write_result_csv(kept, f"{folder}/csv", name)
+        if chart is None:
+            return Published(name, csv_path, plan_path, rows)
+        shaped = chart(kept)
+        rows = bounded_pandas(flags_to_int(shaped), f"{name} chart", max_rows)
+        chart_path = write_result_csv(shaped, f"{folder}/charts", name)
+        return Published(name, csv_path, plan_path, rows, chart_path)
     finally:
         kept.unpersist()
-    return Published(name, csv_path, plan_path, rows)
