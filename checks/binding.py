@@ -17,6 +17,21 @@ TABLES = (
 ).split()
 
 
+# Column types of the bound tables: a declared schema saves the footer-reading job of each scan.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+# Exact two-place decimal by way of whole cents: a direct cast of a double formats it as text first.
+PRICE = "CAST(CAST(rint(l_extendedprice * 100) AS BIGINT) AS DECIMAL(14,0)) * 0.01BD"
+
+
 class Retail:
     """Lazy views over one scale-factor folder."""
 
@@ -25,65 +40,63 @@ class Retail:
         self.folder = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def sales(self) -> DataFrame:
         joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        flag = F.col("l_returnflag")
-        return joined.select(
-            F.col("o_orderdate").cast("date").alias("t_dat"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("article_id"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
-            F.when(flag == "A", 1).when(flag == "R", 2).otherwise(3).alias("sales_channel_id"),
+        return joined.selectExpr(
+            "CAST(o_orderdate AS DATE) AS t_dat",
+            "o_custkey AS customer_id",
+            "l_partkey AS article_id",
+            f"{PRICE} AS price",
+            "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS sales_channel_id",
         )
 
     @cached_property
     def orders(self) -> DataFrame:
         """One row per order, for questions where items of one order would swamp the answer."""
-        return self.table("orders").select(
-            F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("t_dat"))
+        return self.table("orders").selectExpr(
+            "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS t_dat")
 
     @cached_property
     def articles(self) -> DataFrame:
-        words = F.split("p_name", " ")
-        kind = F.lower("p_type")
-        return self.table("part").select(
-            F.col("p_partkey").alias("article_id"),
-            F.col("p_name").alias("prod_name"),
-            words[0].alias("colour_group_name"),
-            words[1].alias("graphical_appearance_name"),
-            words[1].alias("product_type_name"),
-            kind.alias("index_group_name"),
-            kind.alias("index_name"),
-            F.nullif(F.col("p_brand"), F.lit("Brand#4")).alias("department_name"),
-            F.col("p_brand").alias("section_name"),
-            (F.col("p_size") % 5).cast("string").alias("garment_group_name"),
-            words[1].alias("product_group_name"),
-            F.nullif(words[0], F.lit("cold")).alias("perceived_colour_value_name"),
-            words[0].alias("perceived_colour_master_name"),
-            F.col("p_brand").alias("detail_desc"),
+        first, second = "split(p_name, ' ')[0]", "split(p_name, ' ')[1]"
+        return self.table("part").selectExpr(
+            "p_partkey AS article_id",
+            "p_name AS prod_name",
+            f"{first} AS colour_group_name",
+            f"{second} AS graphical_appearance_name",
+            f"{second} AS product_type_name",
+            "lower(p_type) AS index_group_name",
+            "lower(p_type) AS index_name",
+            "nullif(p_brand, 'Brand#4') AS department_name",
+            "p_brand AS section_name",
+            "CAST(p_size % 5 AS STRING) AS garment_group_name",
+            f"{second} AS product_group_name",
+            f"nullif({first}, 'cold') AS perceived_colour_value_name",
+            f"{first} AS perceived_colour_master_name",
+            "p_brand AS detail_desc",
         )
 
     @cached_property
     def customers(self) -> DataFrame:
-        segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
-        return self.table("customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            nation.cast("string").alias("postal_code"),
-            F.floor((F.col("c_acctbal") + 1000) / 150).cast("int").alias("age"),
-            F.when(segment == "BUILDING", "ACTIVE").when(segment == "MACHINERY", "PRE-CREATE")
-            .otherwise("LEFT CLUB").alias("club_member_status"),
-            F.when(nation % 3 == 0, " Regularly ").when(nation % 3 == 1, "Monthly").otherwise("NONE")
-            .alias("fashion_news_frequency"),
+        return self.table("customer").selectExpr(
+            "c_custkey AS customer_id",
+            "CAST(c_nationkey AS STRING) AS postal_code",
+            "CAST(floor((c_acctbal + 1000) / 150) AS INT) AS age",
+            "CASE c_mktsegment WHEN 'BUILDING' THEN 'ACTIVE' WHEN 'MACHINERY' THEN 'PRE-CREATE'"
+            " ELSE 'LEFT CLUB' END AS club_member_status",
+            "CASE c_nationkey % 3 WHEN 0 THEN ' Regularly ' WHEN 1 THEN 'Monthly' ELSE 'NONE' END"
+            " AS fashion_news_frequency",
         )
 
     @cached_property
     def raw_transactions(self) -> DataFrame:
         """Purchases as delivered text, some without a readable price or a customer."""
         joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+        price = F.expr(PRICE).cast("string")
         return joined.select(
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("t_dat"),
             F.when(F.col("l_linenumber") != 7, F.col("o_custkey").cast("string")).alias("customer_id"),

@@ -23,7 +23,8 @@ SF_DIR = "/root/testdata/sf0.01"
 def session(cores: int | str = 8, **conf: str) -> SparkSession:
     settings = {
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
-        "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "8g", **conf,
+        "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "8g",
+        "spark.ui.showConsoleProgress": "false", "spark.python.sql.dataFrameDebugging.enabled": "false", **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tillroll")
     for key, value in settings.items():
