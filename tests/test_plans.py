@@ -172,3 +172,20 @@ def test_hot_keys_reach_the_join_folded(spark, no_broadcast, skewed, dimensions)
     joined = skewed.join(goods, "article_id").join(people, "customer_id", "left_semi")
     expected = joined.groupBy("department_name").agg(F.count(F.lit(1)), F.sum("price"))
     assert sorted(rows(result)) == sorted(rows(expected))
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n[0] in "qv" and n not in EAGER and not n.startswith("q04")])
+def test_facts_are_scanned_once(spark, name, threshold):
+    """Two branches over one aggregate must share its exchange."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        frame = QUERIES[name](spark, SF_DIR)
+        frame.collect()
+        final = physical(frame).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(key, before)
+    for first_column in ("l_", "o_"):
+        assert final.count(f"FileScan parquet [{first_column}") <= 1

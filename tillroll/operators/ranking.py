@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tillroll.operators.durable import materialise
 
@@ -38,10 +39,12 @@ def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n
 def keep_top_keys(df: DataFrame, key: str, order: Sequence[Column], n: int, weight: Column) -> DataFrame:
     """Rows of the ``n`` best keys by an aggregate called ``weight``.
 
-    The key list is ``n`` rows by construction, so it is broadcast.
+    The key list is ``n`` rows by construction, so it is broadcast. The join is
+    inner, not semi: Catalyst would push a semi join below the aggregation that
+    made ``df``, and both sides could no longer share one scan of the facts.
     """
     best = top_n(df.groupBy(key).agg(weight.alias("weight")), order, n).select(key)
-    return df.join(F.broadcast(best), key, "left_semi")
+    return df.join(F.broadcast(best), key)
 
 
 def global_position(df: DataFrame, order: Sequence[Column], position: str, size: str) -> DataFrame:
@@ -52,7 +55,13 @@ def global_position(df: DataFrame, order: Sequence[Column], position: str, size:
     boundaries come from sampling, so the sorted rows are materialised once and
     both uses read that copy. A total order has no hot key: rows that tie on the
     leading column still spread by the tie-break.
+
+    Sums of doubles depend on the order of addition, so a task repeated after a
+    lost executor could send a row to another range. Floating columns are
+    therefore fixed by a written copy before the sort.
     """
+    if any(isinstance(f.dataType, (FloatType, DoubleType)) for f in df.schema):
+        df = materialise(df, "unordered")
     mark = F.monotonically_increasing_id()
     placed = materialise(
         df.orderBy(*order).select("*", mark.alias("_mark"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import labels, metrics
 from tillroll.functions.predicates import is_observed
 from tillroll.operators import shaping
-from tillroll.operators.ranking import top_n
+from tillroll.operators.ranking import keep_top_keys, top_n
 
 
 def gap_buckets(gaps: DataFrame) -> DataFrame:
@@ -62,10 +62,9 @@ def best_rank_series(ranks: DataFrame, n: int = 10) -> DataFrame:
     """Rank series of the departments with the best mean rank."""
     named = ranks.withColumn(
         "department_name", labels.title_case(F.coalesce("department_name", F.lit("unknown"))))
-    means = named.groupBy("department_name").agg(F.avg("dept_rank").alias("mean_rank"))
-    best = top_n(means, [F.asc("mean_rank"), F.asc("department_name")], n).select("department_name")
+    order = [F.asc("weight"), F.asc("department_name")]
     return (
-        named.join(F.broadcast(best), "department_name", "left_semi")
+        keep_top_keys(named, "department_name", order, n, F.avg("dept_rank"))
         .select("department_name", "year_month", "dept_rank")
         .orderBy("department_name", "year_month")
     )

@@ -60,9 +60,11 @@ def type_sales_by_group(sales: DataFrame, articles: DataFrame, product_type: str
 
 def department_rank_movement(sales: DataFrame, articles: DataFrame) -> DataFrame:
     """Monthly rank of each department and the places won since its last month with sales."""
-    monthly = sales.select("article_id", labels.year_month("t_dat").alias("year_month"))
-    cells = summarise(monthly, ["year_month", "department_name"], [row_count("monthly_sales")],
+    monthly = sales.select("article_id", labels.month_start("t_dat").alias("month_start"))
+    cells = summarise(monthly, ["month_start", "department_name"], [row_count("monthly_sales")],
                       [Lookup(articles.select("article_id", "department_name"), "article_id")])
+    labelled = cells.select(labels.year_month("month_start").alias("year_month"), "department_name",
+                            "monthly_sales")
     return series.with_rank_movement(
-        cells, "year_month", "department_name", "monthly_sales", "dept_rank", "prev_rank", "rank_change",
+        labelled, "year_month", "department_name", "monthly_sales", "dept_rank", "prev_rank", "rank_change",
     ).orderBy("year_month", "dept_rank", "department_name")

@@ -19,8 +19,9 @@ def weekly_dynamics(sales: DataFrame, iso_year: bool = False) -> DataFrame:
     week year instead. "Preceding" means the preceding row.
     """
     year = F.extract(F.lit("YEAROFWEEK"), F.col("t_dat")).cast("int") if iso_year else F.year("t_dat")
-    weekly = sales.groupBy(year.alias("year"), F.weekofyear("t_dat").alias("week")).agg(
-        F.count(F.lit(1)).alias("transactions_count"))
+    count = [row_count("transactions_count")]
+    weekly = series.roll_up(series.by_day(sales, "t_dat", count),
+                            {"year": year, "week": F.weekofyear("t_dat")}, count)
     wow = series.with_change(weekly, "transactions_count", ["year", "week"], "prev_week_transactions",
                              "wow_change_pct", positive_base=True)
     yoy = series.with_change(wow, "transactions_count", ["year"], "prev_year_transactions",
