@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from checks.binding import Retail
 from checks.registry import queries
 from tests.conftest import rows
-from tillroll.operators.lookups import Lookup, fits_broadcast, row_count, summarise, total
+from tillroll.operators.lookups import (
+    Lookup, fits_broadcast, measured_bytes, row_count, summarise, total,
+)
 from tillroll.plans import customers, design, products, revenue, timeline
 from tillroll.sources.writers import plan_text
 
@@ -189,3 +191,29 @@ def test_facts_are_scanned_once(spark, name, threshold):
         spark.conf.set(key, before)
     for first_column in ("l_", "o_"):
         assert final.count(f"FileScan parquet [{first_column}") <= 1
+
+
+def test_mid_sized_dimension_is_measured(spark, tmp_path, skewed, dimensions):
+    """A filter Spark cannot size: the estimate is too large to broadcast, the measured rows are not."""
+    _, people = dimensions
+    skewed.write.parquet(str(tmp_path / "sales"))
+    people.write.parquet(str(tmp_path / "people"))
+    fact, people = spark.read.parquet(str(tmp_path / "sales")), spark.read.parquet(str(tmp_path / "people"))
+    readers = people.filter("age BETWEEN 30 AND 31").select("customer_id")
+    assert measured_bytes(readers) == readers.selectExpr("sum(8 + octet_length(customer_id))").first()[0]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        assert not fits_broadcast(readers)  # no fact table to weigh the measuring against
+        assert fits_broadcast(readers, fact)
+        assert not fits_broadcast(people, fact)
+        few = timeline.rolling_activity(fact, people, ages=(30, 31))
+        assert "SortMergeJoin" not in physical(few)
+        many = timeline.rolling_activity(fact, people, ages=(0, 59))
+        assert "SortMergeJoin" in physical(many)
+        answers = rows(few), rows(many)
+    finally:
+        spark.conf.set(key, before)
+    assert answers == (rows(timeline.rolling_activity(fact, people, ages=(30, 31))),
+                       rows(timeline.rolling_activity(fact, people, ages=(0, 59))))

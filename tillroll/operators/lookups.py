@@ -2,9 +2,9 @@
 
 ``summarise`` picks between two exact plans, per dimension:
 
-* Spark would broadcast the dimension (its size estimate is within
-  ``spark.sql.autoBroadcastJoinThreshold``): join first, map-side, then
-  aggregate. The fact table is never shuffled, only its partial aggregates.
+* the dimension is small enough to broadcast, by Spark's estimate or, failing
+  that, by measuring it: join first, map-side, then aggregate. The fact table is
+  never shuffled, only its partial aggregates.
 * otherwise: aggregate the fact table by the join key first, then join. Partial
   aggregation folds a hot key into one row per task *before* the shuffle, so a
   key with a third of all rows is no heavier than any other.
@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 class Measure(NamedTuple):
@@ -60,24 +61,54 @@ class Lookup(NamedTuple):
     how: str = "inner"
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of ``df`` is within its own broadcast limit."""
+# A measured size may exceed the limit for estimates by this factor: Spark estimates from
+# compressed files, which hold several times their size in memory.
+MEASURED_FACTOR = 8
+# Measuring scans the dimension once; it has to be this much smaller than the fact table.
+MEASURING_RATIO = 10
+
+
+def _estimate(df: DataFrame) -> int:
+    """Spark's size estimate of a frame in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values: the length of text and binary columns, eight for any other. Runs one job."""
+    sized = (StringType, BinaryType)
+    text = [f.name for f in df.schema if isinstance(f.dataType, sized)]
+    width = F.lit(8 * len(df.columns)) + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
+    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+
+
+def fits_broadcast(df: DataFrame, fact: DataFrame | None = None) -> bool:
+    """Whether ``df`` may be broadcast.
+
+    Spark's own estimate within ``spark.sql.autoBroadcastJoinThreshold`` is
+    enough. A larger estimate (which knows nothing of how much a filter keeps) is
+    settled by measuring, if ``fact`` is so large that measuring is cheap beside it.
+    """
     try:
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        size = _estimate(df)
+        worth_measuring = fact is not None and size * MEASURING_RATIO <= _estimate(fact)
     except AttributeError:  # a Connect session shows no estimate: take the plan that needs none
         return False
-    return int(str(size)) <= int(limit)
+    if limit <= 0 or size <= limit:
+        return size <= limit
+    return worth_measuring and measured_bytes(df) <= limit * MEASURED_FACTOR
 
 
 def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
               lookups: Sequence[Lookup] = ()) -> DataFrame:
     """Group ``fact`` by ``by`` (own columns or attributes of ``lookups``) and take ``measures``."""
-    direct, deferred = [], []
+    deferred = []
+    source = fact
     for lookup in lookups:
-        (direct if fits_broadcast(lookup.frame) else deferred).append(lookup)
-    for lookup in direct:
-        fact = fact.join(lookup.frame, lookup.key, lookup.how)
+        if fits_broadcast(lookup.frame, source):
+            fact = fact.join(F.broadcast(lookup.frame), lookup.key, lookup.how)
+        else:
+            deferred.append(lookup)
 
     folded = False
 
