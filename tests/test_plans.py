@@ -51,7 +51,7 @@ def test_broadcast_dimension_leaves_the_fact_table_unshuffled(spark):
 
 def test_large_dimension_is_joined_after_partial_aggregation(spark, no_broadcast):
     retail = Retail(spark, SF_DIR)
-    assert not fits_broadcast(retail.articles)
+    assert not fits_broadcast(retail.articles, retail.sales)
     fact = retail.table("lineitem").selectExpr("l_partkey AS article_id", "1 AS price", "1 AS sales_channel_id")
     plan = physical(revenue.revenue_by_group_and_channel(fact, retail.articles))
     join = plan.index("SortMergeJoin")
@@ -205,7 +205,7 @@ def test_mid_sized_dimension_is_measured(spark, tmp_path, skewed, dimensions):
     before = spark.conf.get(key)
     spark.conf.set(key, "1000")
     try:
-        assert not fits_broadcast(readers)  # no fact table to weigh the measuring against
+        assert not fits_broadcast(readers, people)  # measuring would cost as much as the join
         assert fits_broadcast(readers, fact)
         assert not fits_broadcast(people, fact)
         few = timeline.rolling_activity(fact, people, ages=(30, 31))

@@ -2,8 +2,8 @@
 
 ``summarise`` picks between two exact plans, per dimension:
 
-* the dimension is small enough to broadcast, by Spark's estimate or, failing
-  that, by measuring it: join first, map-side, then aggregate. The fact table is
+* the dimension is small enough to broadcast, by a clear estimate or by
+  measuring it: join first, map-side, then aggregate. The fact table is
   never shuffled, only its partial aggregates.
 * otherwise: aggregate the fact table by the join key first, then join. Partial
   aggregation folds a hot key into one row per task *before* the shuffle, so a
@@ -61,9 +61,9 @@ class Lookup(NamedTuple):
     how: str = "inner"
 
 
-# A measured size may exceed the limit for estimates by this factor: Spark estimates from
-# compressed files, which hold several times their size in memory.
-MEASURED_FACTOR = 8
+# Spark estimates sizes from compressed files, which may hold several times as much in memory.
+# An estimate this much below the limit is trusted; a measured size may exceed the limit by as much.
+EXPANSION = 8
 # Measuring scans the dimension once; it has to be this much smaller than the fact table.
 MEASURING_RATIO = 10
 
@@ -81,22 +81,23 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def fits_broadcast(df: DataFrame, fact: DataFrame | None = None) -> bool:
-    """Whether ``df`` may be broadcast.
+def fits_broadcast(df: DataFrame, fact: DataFrame) -> bool:
+    """Whether ``df`` is small enough to be broadcast to the tasks that read ``fact``.
 
-    Spark's own estimate within ``spark.sql.autoBroadcastJoinThreshold`` is
-    enough. A larger estimate (which knows nothing of how much a filter keeps) is
-    settled by measuring, if ``fact`` is so large that measuring is cheap beside it.
+    The limit is the session's ``spark.sql.autoBroadcastJoinThreshold``. Spark's
+    estimate settles the matter only when it is far below: it is taken from
+    compressed files, and knows nothing of how much a filter keeps. Otherwise the
+    rows are measured, if that is cheap beside scanning ``fact``.
     """
     try:
         limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
         size = _estimate(df)
-        worth_measuring = fact is not None and size * MEASURING_RATIO <= _estimate(fact)
+        if limit <= 0 or size * EXPANSION <= limit:
+            return limit > 0
+        cheap = size * MEASURING_RATIO <= _estimate(fact)
     except AttributeError:  # a Connect session shows no estimate: take the plan that needs none
         return False
-    if limit <= 0 or size <= limit:
-        return size <= limit
-    return worth_measuring and measured_bytes(df) <= limit * MEASURED_FACTOR
+    return cheap and measured_bytes(df) <= limit * EXPANSION
 
 
 def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
