@@ -45,6 +45,11 @@ class Retail:
 
     @cached_property
     def sales(self) -> DataFrame:
+        """Line items with the day and customer of their order.
+
+        Orders are unique by key, so AQE may split the line items of a hot order and
+        repeat that one row.
+        """
         joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return joined.selectExpr(
             "CAST(o_orderdate AS DATE) AS t_dat",

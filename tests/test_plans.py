@@ -171,6 +171,7 @@ def test_hot_keys_reach_the_join_folded(spark, no_broadcast, skewed, dimensions)
     result = summarise(skewed, ["department_name"], [row_count("n"), total("price", "v")], lookups)
     plan = physical(result)
     assert plan.count("partial_count(1)") == 1 and plan.count("SortMergeJoin") == 2
+    assert re.search(r"SortMergeJoin \[article_id#\d+, _salt", plan)  # one article, many customers
     joined = skewed.join(goods, "article_id").join(people, "customer_id", "left_semi")
     expected = joined.groupBy("department_name").agg(F.count(F.lit(1)), F.sum("price"))
     assert sorted(rows(result)) == sorted(rows(expected))

@@ -7,7 +7,8 @@
   never shuffled, only its partial aggregates.
 * otherwise: aggregate the fact table by the join key first, then join. Partial
   aggregation folds a hot key into one row per task *before* the shuffle, so a
-  key with a third of all rows is no heavier than any other.
+  key with a third of all rows is no heavier than any other. With several large
+  dimensions the joins before the last one are salted as well.
 """
 
 from __future__ import annotations
@@ -67,6 +68,9 @@ EXPANSION = 8
 # Measuring scans the dimension once; it has to be this much smaller than the fact table.
 MEASURING_RATIO = 10
 
+# Copies of a large dimension that meets rows still spread over the keys of further ones.
+SALTS = 32
+
 
 def _estimate(df: DataFrame) -> int:
     """Spark's size estimate of a frame in bytes."""
@@ -103,25 +107,39 @@ def fits_broadcast(df: DataFrame, fact: DataFrame) -> bool:
 def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
               lookups: Sequence[Lookup] = ()) -> DataFrame:
     """Group ``fact`` by ``by`` (own columns or attributes of ``lookups``) and take ``measures``."""
-    deferred = []
-    source = fact
+    wide, deferred = fact, []
     for lookup in lookups:
-        if fits_broadcast(lookup.frame, source):
-            fact = fact.join(F.broadcast(lookup.frame), lookup.key, lookup.how)
+        if fits_broadcast(lookup.frame, fact):
+            wide = wide.join(F.broadcast(lookup.frame), lookup.key, lookup.how)
         else:
             deferred.append(lookup)
+    if not deferred:
+        return wide.groupBy(*by).agg(*[m.over_rows.alias(m.name) for m in measures])
+
+    own = [c for c in by if c in wide.columns]
+    keys = dict.fromkeys([*(lookup.key for lookup in deferred), *own])
+    folded = wide.groupBy(*keys).agg(*[m.over_rows.alias(m.name) for m in measures])
+    *earlier, last = deferred
+    for position, lookup in enumerate(earlier):
+        folded = _salted_join(folded, lookup, [later.key for later in deferred[position + 1:]])
+        kept = [c for c in folded.columns if c in by or c in {later.key for later in deferred[position + 1:]}]
+        folded = merge(folded, kept, measures)
+    return merge(folded.join(last.frame, last.key, last.how), by, measures)
+
 
-    folded = False
+def merge(folded: DataFrame, by: Sequence[str | Column], measures: Sequence[Measure]) -> DataFrame:
+    """Combine rows that were aggregated already."""
+    return folded.groupBy(*by).agg(*[m.over_partials(m.name).alias(m.name) for m in measures])
 
-    def fold(keys: Sequence[str]) -> DataFrame:
-        return fact.groupBy(*keys).agg(*[
-            (m.over_partials(m.name) if folded else m.over_rows).alias(m.name) for m in measures
-        ])
 
-    for position, lookup in enumerate(deferred):
-        later_keys = [later.key for later in deferred[position:]]
-        own = [c for c in by if c in fact.columns]
-        fact = fold(list(dict.fromkeys(later_keys + own)))
-        folded = True
-        fact = fact.join(lookup.frame, lookup.key, lookup.how)
-    return fold(by)
+def _salted_join(fact: DataFrame, lookup: Lookup, spread: Sequence[str]) -> DataFrame:
+    """Join rows of one key in ``SALTS`` places, by their values in ``spread``.
+
+    Rows folded by several keys may still be many for a hot one of them. Each
+    dimension row is repeated once per salt and each fact row has one salt, so
+    every pair meets exactly once.
+    """
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int").alias("_salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    joined = fact.select("*", salt).join(lookup.frame.select("*", salts), [lookup.key, "_salt"], lookup.how)
+    return joined.drop("_salt")
