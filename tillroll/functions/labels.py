@@ -99,9 +99,5 @@ def title_case(column: Column | str) -> Column:
     return F.initcap(column)
 
 
-def normalised(column: Column | str) -> Column:
-    return F.lower(F.trim(column))
-
-
 def joined_label(template: str, parts: Sequence[Column | str]) -> Column:
     return F.format_string(template, *parts)

@@ -121,9 +121,9 @@ def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
     folded = wide.groupBy(*keys).agg(*[m.over_rows.alias(m.name) for m in measures])
     *earlier, last = deferred
     for position, lookup in enumerate(earlier):
-        folded = _salted_join(folded, lookup, [later.key for later in deferred[position + 1:]])
-        kept = [c for c in folded.columns if c in by or c in {later.key for later in deferred[position + 1:]}]
-        folded = merge(folded, kept, measures)
+        later_keys = [later.key for later in deferred[position + 1:]]
+        folded = _salted_join(folded, lookup, later_keys)
+        folded = merge(folded, [c for c in folded.columns if c in {*by, *later_keys}], measures)
     return merge(folded.join(last.frame, last.key, last.how), by, measures)
 
 

@@ -11,6 +11,9 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType, StructType
 from tillroll.functions import metrics
 from tillroll.functions.predicates import is_missing
 
+# Verdicts of the column profile.
+KEEP, KEEP_CORE, DROP = "keep", "keep (core)", "drop (constant)"
+
 
 def _floats(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema if isinstance(f.dataType, (FloatType, DoubleType))}
@@ -112,8 +115,7 @@ def profile_columns(df: DataFrame, keep: Sequence[str] = (), approx: bool = Fals
         .withColumn("n_distinct", F.col("n_values") + F.coalesce("has_null", F.lit(0)))
         .select("column", "n_distinct", "n_missing",
                 metrics.share_pct("n_missing", "n_rows").alias("missing_pct"),
-                F.when(protected, "keep (core)").when(constant, "drop (constant)").otherwise("keep")
-                .alias("verdict"))
+                F.when(protected, KEEP_CORE).when(constant, DROP).otherwise(KEEP).alias("verdict"))
     )
 
 
