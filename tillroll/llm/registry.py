@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from tillroll.llm import line_dedup, repetition
+from tillroll.llm import (
+    line_dedup,
+    repetition,
+    token_ids,
+)
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (
         repetition.op1_suffix_repetition,
+        token_ids.op4_token_ids,
         line_dedup.op9_line_dedup,
     )}
 

@@ -177,8 +177,8 @@ WITH split AS (
 measured AS (
   SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-         len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-         - len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))))
+         len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+         - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))))
            AS n_dup_lines,
          coalesce(five_words.n, 0) AS n_repeat_words, coalesce(repeat_words.n, 0) AS covered_words,
          long_words.n IS NOT NULL AS too_long
