@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tillroll.llm import (
+    language,
     line_dedup,
     repetition,
     token_ids,
+    toxicity,
 )
 
 
@@ -13,6 +15,8 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         repetition.op1_suffix_repetition,
         token_ids.op4_token_ids,
+        language.op5_language_cnn,
+        toxicity.op6_subword_toxicity,
         line_dedup.op9_line_dedup,
     )}
 
