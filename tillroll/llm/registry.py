@@ -6,6 +6,7 @@ from tillroll.llm import (
     language,
     line_dedup,
     repetition,
+    simhash,
     token_ids,
     toxicity,
 )
@@ -17,6 +18,7 @@ def queries() -> dict:
         token_ids.op4_token_ids,
         language.op5_language_cnn,
         toxicity.op6_subword_toxicity,
+        simhash.op7_simhash,
         line_dedup.op9_line_dedup,
     )}
 
