@@ -6,6 +6,7 @@ from tillroll.llm import (
     language,
     line_dedup,
     repetition,
+    sharding,
     simhash,
     token_ids,
     toxicity,
@@ -20,6 +21,7 @@ def queries() -> dict:
         toxicity.op6_subword_toxicity,
         simhash.op7_simhash,
         line_dedup.op9_line_dedup,
+        sharding.op10_kd_sharding,
     )}
 
 
