@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillroll.llm import (
+    byte_bpe,
     language,
     line_dedup,
     repetition,
@@ -20,6 +21,7 @@ def queries() -> dict:
         language.op5_language_cnn,
         toxicity.op6_subword_toxicity,
         simhash.op7_simhash,
+        byte_bpe.op8_byte_bpe,
         line_dedup.op9_line_dedup,
         sharding.op10_kd_sharding,
     )}
