@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillroll.llm import (
     byte_bpe,
+    decontaminate,
     language,
     line_dedup,
     repetition,
@@ -17,6 +18,7 @@ from tillroll.llm import (
 def queries() -> dict:
     return {f.__name__: f for f in (
         repetition.op1_suffix_repetition,
+        decontaminate.op3_qgram_decontamination,
         token_ids.op4_token_ids,
         language.op5_language_cnn,
         toxicity.op6_subword_toxicity,
