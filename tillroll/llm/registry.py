@@ -12,12 +12,14 @@ from tillroll.llm import (
     simhash,
     token_ids,
     toxicity,
+    warc,
 )
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (
         repetition.op1_suffix_repetition,
+        warc.op2_warc,
         decontaminate.op3_qgram_decontamination,
         token_ids.op4_token_ids,
         language.op5_language_cnn,
@@ -32,5 +34,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_suffix_repetition": repetition.OP1_SQL,
+        "op2_warc": warc.OP2_SQL,
         "op9_line_dedup": line_dedup.OP9_SQL,
     }
