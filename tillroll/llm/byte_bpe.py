@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark import TaskContext
@@ -65,7 +66,9 @@ def pre_tokens(texts: pa.RecordBatch, pattern: regex.Pattern) -> tuple[np.ndarra
     per_unit = sizes[codes]
     tokens = piece_of[ragged(starts(sizes)[:-1][codes], per_unit)]
     counts = np.diff(starts(per_unit)[starts(np.array(lengths, np.int64))])
-    order = np.argsort(-np.bincount(tokens, minlength=len(coded.dictionary)), kind="stable")
+    by_name = pc.sort_indices(coded.dictionary).to_numpy()  # words of one frequency in order compress better
+    seen = np.bincount(tokens, minlength=len(coded.dictionary))
+    order = by_name[np.argsort(-seen[by_name], kind="stable")]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     return rank[tokens], counts, coded.dictionary.take(pa.array(order))
@@ -130,13 +133,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
         "word", (F.shiftleft("block", INDEX_BITS) + F.col("at")).alias("place"))
     coded = places.repartition("word").sortWithinPartitions("word").mapInArrow(
         encode_words, "place long, word_ids binary")
-    coded = coded.select(F.shiftright("place", INDEX_BITS).alias("block"), "place", "word_ids")
+    at = F.col("place").bitwiseAND(F.lit((1 << INDEX_BITS) - 1)).cast("int")
+    coded = coded.select(F.shiftright("place", INDEX_BITS).alias("block"), at.alias("at"), "word_ids")
     schema = StructType([*(docs.schema[c] for c in kept), StructField("ids", BinaryType())])
     names = schema.names
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        at = right.column("place").to_numpy() & ((1 << INDEX_BITS) - 1)
-        order = np.argsort(at)
+        order = np.argsort(right.column("at").to_numpy())
         flat, sizes = _joined(right.column("word_ids").take(pa.array(order)).combine_chunks(), width)
         made = []
         for row in range(left.num_rows):
