@@ -22,7 +22,7 @@ WIDEST = max(WIDTHS)
 STRIDE = WINDOW - WIDEST + 1
 PAD = 256
 #: Bounds of the training sample: documents of a language, windows of a document, characters of a window.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 400, 4
+SAMPLE_DOCS, SAMPLE_WINDOWS, SALTS = 400, 4, 64
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 UNKNOWN = "und"
 #: The pipeline keeps a document whose language is known with at least this score.
@@ -42,8 +42,9 @@ def training_windows(docs: DataFrame, text_col: str, label_col: str, key_col: st
     rows = docs.where(text.isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(label_col).cast("string").alias("label"), F.array_distinct(F.array(*cuts)).alias("cuts"),
         F.xxhash64(key_col, text_col).alias("h"))
-    order = W.partitionBy("label").orderBy("h")
-    rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    for key in (["label", F.pmod("h", F.lit(SALTS))], ["label"]):  # first in parts, so that no label is one task's
+        first = F.row_number().over(W.partitionBy(*key).orderBy("h"))
+        rows = rows.withColumn("n", first).where(F.col("n") <= SAMPLE_DOCS)
     found = rows.select("label", F.explode("cuts").alias("cut")).collect()
     return sorted((r["label"], r["cut"]) for r in found)
 
