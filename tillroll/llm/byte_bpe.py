@@ -27,8 +27,10 @@ from tillroll.llm.common import binary_array, new_path, ragged, slices, starts
 from tillroll.llm.token_ids import _joined, code_ranks, decode_ranks
 
 #: Text of a block. Larger blocks repeat fewer words; a task holds one.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 28 << 20
 INDEX_BITS = 30
+#: Pre-tokens whose ids are put together at once.
+RUN_TOKENS = 1 << 20
 #: White space as Unicode has it; no pre-token goes from other text into it, so texts can be cut before each run.
 SPACE = "\t-\r \x85\xa0  -     　"
 UNIT = regex.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -42,9 +44,9 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def _dictionary(parts: list[pa.DictionaryArray]) -> tuple[np.ndarray, pa.Array]:
     """Codes into the distinct values of all parts, and those values."""
     joined = pa.concat_arrays([p.dictionary for p in parts]).dictionary_encode()
-    place = joined.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    place = joined.indices.to_numpy(zero_copy_only=False)
     begin = starts(np.array([len(p.dictionary) for p in parts]))
-    codes = [place[b + p.indices.to_numpy(zero_copy_only=False).astype(np.int64)] for b, p in zip(begin, parts)]
+    codes = [place[b + p.indices.to_numpy(zero_copy_only=False)] for b, p in zip(begin, parts)]
     return np.concatenate(codes), joined.dictionary
 
 
@@ -62,14 +64,15 @@ def pre_tokens(texts: pa.RecordBatch, pattern: regex.Pattern) -> tuple[np.ndarra
     pieces = [pattern.findall(u) for u in units.to_pylist()]
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     coded = pa.array(itertools.chain.from_iterable(pieces), pa.string()).dictionary_encode()
-    piece_of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    del pieces
+    piece_of = coded.indices.to_numpy(zero_copy_only=False)
     per_unit = sizes[codes]
     tokens = piece_of[ragged(starts(sizes)[:-1][codes], per_unit)]
     counts = np.diff(starts(per_unit)[starts(np.array(lengths, np.int64))])
     by_name = pc.sort_indices(coded.dictionary).to_numpy()  # words of one frequency in order compress better
     seen = np.bincount(tokens, minlength=len(coded.dictionary))
     order = by_name[np.argsort(-seen[by_name], kind="stable")]
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order))
     return rank[tokens], counts, coded.dictionary.take(pa.array(order))
 
@@ -95,6 +98,8 @@ def _blocks(docs: DataFrame, text_col: str, kept: list[str], pattern: str) -> Da
                 arrays = [pa.array([number]), whole(records), whole(pa.array(counts)), *merged, whole(distinct)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, arrow)], schema=arrow)
                 number += 1
+                del tokens, control, data, merged, arrays
+                pa.default_memory_pool().release_unused()  # two workers and the JVM share the executor's memory
 
     source = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
     spark = docs.sparkSession
@@ -141,16 +146,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right.column("at").to_numpy())
         flat, sizes = _joined(right.column("word_ids").take(pa.array(order)).combine_chunks(), width)
-        made = []
+        made, begin = [], starts(sizes)[:-1]
         for row in range(left.num_rows):
-            counts = left.column("counts").chunk(0)[row].values.to_numpy(zero_copy_only=False)
+            counts = left.column("counts").combine_chunks()[row].values.to_numpy(zero_copy_only=False)
             records = left.column("docs").combine_chunks()[row].values
             control, data = (left.column(c).combine_chunks().slice(row, 1) for c in ("control", "data"))
-            tokens = _document_tokens(control, data, counts)
-            per_token = sizes[tokens] if len(tokens) else np.zeros(0, np.int64)
-            ids = flat[ragged(starts(sizes)[:-1][tokens], per_token)].astype("<u4") if len(tokens) else np.zeros(0, "<u4")
-            ids = binary_array(ids, 4 * np.diff(starts(per_token)[starts(counts)]))
-            made.append(pa.Table.from_arrays([*records.flatten(), ids], names=names))
+            tokens, ends = _document_tokens(control, data, counts), starts(counts)
+            first = 0
+            while first < len(counts):  # a run of documents at a time
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + RUN_TOKENS)) - 1)
+                some = tokens[ends[first]: ends[last]]
+                per_token = sizes[some]
+                ids = flat[ragged(begin[some], per_token)].astype("<u4")
+                ids = binary_array(ids, 4 * np.diff(starts(per_token)[ends[first: last + 1] - ends[first]]))
+                made.append(pa.Table.from_arrays([*records.slice(first, last - first).flatten(), ids], names=names))
+                first = last
         return pa.concat_tables(made) if made else pa.table({n: [] for n in names})
 
     return blocks.drop("words").groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(assemble, schema)
@@ -161,7 +171,7 @@ def _document_tokens(control: pa.Array, data: pa.Array, counts: np.ndarray) -> n
     groups = -(-counts // 4)
     bits, _ = _joined(control, "u1")
     split = binary_array(bits, groups)
-    return decode_ranks(split, data, counts).astype(np.int64)
+    return decode_ranks(split, data, counts)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], keep_columns: list[str] | None = None) -> DataFrame:

@@ -98,14 +98,17 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 def starts(counts: np.ndarray) -> np.ndarray:
     """Exclusive prefix sums, with the total at the end."""
-    return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)])
 
 
 def ragged(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The indices ``begin[i], begin[i] + 1, ...`` (``counts[i]`` of them) of all i, one after the other."""
     total = int(counts.sum())
-    shift = np.repeat(begin - (np.cumsum(counts) - counts), counts)
-    return shift + np.arange(total)
+    small = total < 1 << 31 and int(begin.max(initial=0)) < 1 << 31
+    kind = np.int32 if small else np.int64
+    shift = np.repeat((begin - (np.cumsum(counts) - counts)).astype(kind), counts)
+    shift += np.arange(total, dtype=kind)
+    return shift
 
 
 def text_bytes(value: str | None) -> bytes:

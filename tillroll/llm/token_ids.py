@@ -31,7 +31,7 @@ END_ID = 1
 #: Distinct words a task remembers with their ids; beyond it, the memory starts anew.
 CACHE_WORDS = 300_000
 #: Of every control byte, the lengths of its four ids.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
