@@ -111,15 +111,32 @@ def _blocks(docs: DataFrame, text_col: str, kept: list[str], pattern: str) -> Da
     return spark.table(table)
 
 
+class TokenBytes:
+    """The token-byte table: a row for each id of the vocabulary, which bounds it."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_rank = sorted((rank, token) for token, rank in ranks.items())
+        self.sizes = np.zeros(by_rank[-1][0] + 1 if by_rank else 1, np.int64)
+        self.sizes[[r for r, _ in by_rank]] = [len(t) for _, t in by_rank]
+        self.bytes, self.begin = np.frombuffer(b"".join(t for _, t in by_rank), np.uint8), starts(self.sizes)[:-1]
+
+    def join(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The bytes of each document; ``counts`` are its ids."""
+        sizes = self.sizes[ids]
+        return binary_array(self.bytes[ragged(self.begin[ids], sizes)], np.diff(starts(sizes)[starts(counts)]))
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text",
-           keep_columns: list[str] | None = None) -> DataFrame:
+           keep_columns: list[str] | None = None, with_decoded: bool = False) -> DataFrame:
     """Adds ``ids``: the ids of each whole text, 4 bytes each, little-endian; the text itself is not kept.
 
+    ``with_decoded`` adds what ``decode`` makes of the ids, by the same join, without passing them on to it.
+
     Each match of ``pattern`` is encoded by itself, without special tokens. A NULL or empty text has no ids (empty
     binary). Rows are told apart by their place, so repeated ids and repeated rows come back as often as they went
     in. A column ``ids`` of ``docs`` is replaced.
     """
-    kept = [c for c in (docs.columns if keep_columns is None else keep_columns) if c not in (text_col, "ids")]
+    kept = [c for c in (docs.columns if keep_columns is None else keep_columns) if c not in (text_col, "ids", "decoded")]
     blocks = _blocks(docs, text_col, kept, pattern)
     width = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
 
@@ -140,8 +157,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
         encode_words, "place long, word_ids binary")
     at = F.col("place").bitwiseAND(F.lit((1 << INDEX_BITS) - 1)).cast("int")
     coded = coded.select(F.shiftright("place", INDEX_BITS).alias("block"), at.alias("at"), "word_ids")
-    schema = StructType([*(docs.schema[c] for c in kept), StructField("ids", BinaryType())])
+    made_here = [StructField(c, BinaryType()) for c in ("ids", "decoded")[: 1 + with_decoded]]
+    schema = StructType([*(docs.schema[c] for c in kept), *made_here])
     names = schema.names
+    token_bytes = TokenBytes(ranks) if with_decoded else None
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right.column("at").to_numpy())
@@ -150,40 +169,35 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
         for row in range(left.num_rows):
             counts = left.column("counts").combine_chunks()[row].values.to_numpy(zero_copy_only=False)
             records = left.column("docs").combine_chunks()[row].values
-            control, data = (left.column(c).combine_chunks().slice(row, 1) for c in ("control", "data"))
-            tokens, ends = _document_tokens(control, data, counts), starts(counts)
-            first = 0
+            bits, stream = (_joined(left.column(c).combine_chunks().slice(row, 1), "u1")[0] for c in ("control", "data"))
+            groups, ends = -(-counts // 4), starts(counts)
+            group_ends, at, first = starts(groups), 0, 0
             while first < len(counts):  # a run of documents at a time
                 last = max(first + 1, int(np.searchsorted(ends, ends[first] + RUN_TOKENS)) - 1)
-                some = tokens[ends[first]: ends[last]]
-                per_token = sizes[some]
-                ids = flat[ragged(begin[some], per_token)].astype("<u4")
-                ids = binary_array(ids, 4 * np.diff(starts(per_token)[ends[first: last + 1] - ends[first]]))
-                made.append(pa.Table.from_arrays([*records.slice(first, last - first).flatten(), ids], names=names))
+                control = binary_array(bits[group_ends[first]: group_ends[last]], groups[first:last])
+                tokens, used = decode_ranks(control, stream[at:], counts[first:last])
+                at += used
+                per_token = sizes[tokens]
+                ids = flat[ragged(begin[tokens], per_token)].astype("<u4")
+                per_doc = np.diff(starts(per_token)[ends[first: last + 1] - ends[first]])
+                columns = [*records.slice(first, last - first).flatten(), binary_array(ids, 4 * per_doc)]
+                if token_bytes:
+                    columns.append(token_bytes.join(ids, per_doc))
+                made.append(pa.Table.from_arrays(columns, names=names))
                 first = last
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(made) if made else pa.table({n: [] for n in names})
 
     return blocks.drop("words").groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(assemble, schema)
 
 
-def _document_tokens(control: pa.Array, data: pa.Array, counts: np.ndarray) -> np.ndarray:
-    """The numbers of a block's pre-tokens; control bytes of a document fill its last byte up."""
-    groups = -(-counts // 4)
-    bits, _ = _joined(control, "u1")
-    split = binary_array(bits, groups)
-    return decode_ranks(split, data, counts)
-
-
 def decode(encoded: DataFrame, ranks: dict[bytes, int], keep_columns: list[str] | None = None) -> DataFrame:
     """Adds ``decoded``, the bytes of ``ids``, by a map-side join of each id with the token-byte table.
 
     The table has a row for each id of the vocabulary, which bounds it. NULL ids give NULL.
     """
     kept = [c for c in (encoded.columns if keep_columns is None else keep_columns) if c != "decoded"]
-    by_rank = sorted((rank, token) for token, rank in ranks.items())
-    sizes = np.zeros(by_rank[-1][0] + 1 if by_rank else 1, np.int64)
-    sizes[[r for r, _ in by_rank]] = [len(t) for _, t in by_rank]
-    table, begin = np.frombuffer(b"".join(t for _, t in by_rank), np.uint8), starts(sizes)[:-1]
+    table = TokenBytes(ranks)
     schema = StructType([*(encoded.schema[c] for c in kept), StructField("decoded", BinaryType())])
     names = schema.names
 
@@ -192,8 +206,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], keep_columns: list[str]
             for rows in slices(batch, "__ids"):
                 column = rows.column("__ids")
                 ids, counts = _joined(column.fill_null(b""), "<u4")
-                made = table[ragged(begin[ids], sizes[ids])]
-                made = binary_array(made, np.diff(starts(sizes[ids])[starts(counts)]))
+                made = table.join(ids, counts)
                 if column.null_count:
                     made = pa.array([None if gone else x for x, gone in zip(made.to_pylist(), column.is_null().to_pylist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), made], names=names)
@@ -202,11 +215,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], keep_columns: list[str]
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    encoded = encode(docs, ranks, pattern, keep_columns=["doc_id"])
-    encoded = encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-                             F.sha2("ids", 256).alias("ids_sha256"))
-    decoded = decode(encoded, ranks, ["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = encode(docs, ranks, pattern, keep_columns=["doc_id"], with_decoded=True)
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_byte_bpe(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ SAMPLE_DOCS, SAMPLE_WINDOWS, SALTS = 400, 4, 64
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 UNKNOWN = "und"
 #: The pipeline keeps a document whose language is known with at least this score.
-MIN_SCORE = 0.5
+MIN_SCORE = 0.35
 
 
 def training_windows(docs: DataFrame, text_col: str, label_col: str, key_col: str) -> list[tuple[str, str]]:

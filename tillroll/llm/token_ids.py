@@ -160,17 +160,17 @@ def code_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.Arra
     return binary_array(control, groups), binary_array(data, np.diff(starts(lengths)[starts(counts)]))
 
 
-def decode_ranks(control: pa.Array, data: pa.Array, counts: np.ndarray) -> np.ndarray:
-    """The ranks of all documents in turn, by lookup of each control byte's four lengths."""
+def decode_ranks(control: pa.Array, stream: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The ranks of all documents in turn, by lookup of each control byte's four lengths; bytes read of ``stream``."""
     bits, groups = _joined(control, "u1")
-    stream, _ = _joined(data, "u1")
     lengths = LENGTHS[bits].reshape(-1)[ragged(4 * starts(groups)[:-1], counts)]
-    at = starts(lengths)[:-1]
-    stream = np.concatenate([stream, np.zeros(3, np.uint8)]).astype(np.uint32)
+    at = starts(lengths)
+    used, at = int(at[-1]), at[:-1]
+    stream = np.concatenate([stream[:used], np.zeros(3, np.uint8)]).astype(np.uint32)
     ranks = stream[at]
     for k in range(1, int(lengths.max(initial=1))):
         ranks |= stream[at + k] << np.uint32(8 * k)
-    return ranks & MASKS[lengths]
+    return ranks & MASKS[lengths], used
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -223,7 +223,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for rows in slices(batch, "data", 2 << 20):
                 counts = rows.column("n_tokens").to_numpy()
-                ids = token_of[decode_ranks(rows.column("control"), rows.column("data"), counts)]
+                ids = token_of[decode_ranks(rows.column("control"), _joined(rows.column("data"), "u1")[0], counts)[0]]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("start"), pa.array(counts),
                      binary_array(ids.astype("<u4"), 4 * counts)], names=names)
