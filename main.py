@@ -42,7 +42,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
                 writers.write_result_csv(frame, f"{options.out.rstrip('/')}/{table}", name)
     else:
         for done in report.publish_answers(spark, options.processed, options.out, options.topic):
-            print(f"{done.name}: {len(done.rows)} rows, {done.csv_path}")
+            print(f"{done.name}: {done.row_count} rows, {done.csv_path}")
 
 
 if __name__ == "__main__":

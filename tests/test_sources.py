@@ -101,11 +101,14 @@ def test_every_question_is_published(spark, processed_dir, tmp_path):
     assert titles.count() == 1
 
 
-def test_publish_refuses_large_results(spark, tmp_path):
-    with pytest.raises(ValueError, match="'big' exceeds 5 rows"):
-        writers.publish(spark.range(6), "big", str(tmp_path), max_rows=5)
-    assert not (tmp_path / "csv").exists()
-    assert len(writers.publish(spark.range(5), "fits", str(tmp_path), max_rows=5).rows) == 5
+def test_publish_writes_results_of_any_size(spark, tmp_path):
+    rows = spark.range(12_000).selectExpr("id", """CASE WHEN id % 3 > 0 THEN concat('a "b", c ', id) END AS name""")
+    done = writers.publish(rows, "big", str(tmp_path))
+    back = readers.read_csv(spark, done.csv_path, "id long, name string")
+    assert done.row_count == 12_000 and sorted(back.collect()) == sorted(rows.collect())
+    assert sorted(readers.read_inferred_csv(spark, done.csv_path).collect())[1].name == 'a "b", c 1'
+    with pytest.raises(ValueError, match="'big' exceeds 5000 rows"):
+        writers.bounded_pandas(done.frame, "big")
 
 
 def test_result_csv_is_one_file_with_header(spark, tmp_path):

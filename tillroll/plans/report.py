@@ -91,12 +91,18 @@ def answer(spark: SparkSession, processed_dir: str, name: str, **parameters) ->
 
 def publish_answers(spark: SparkSession, processed_dir: str, out_dir: str,
                     topics: Iterable[str] = ()) -> list[writers.Published]:
-    """Publish all questions, or those of some topics, one folder per topic."""
+    """Publish all questions, or those of some topics, one folder per topic; a failure does not stop the others."""
     wanted = set(topics) or {q.topic for q in QUESTIONS.values()}
-    # Monthly ranks of all departments are the one longer result.
-    limits = {"department_ranks": 10_000}
-    return [
-        writers.publish(answer(spark, processed_dir, name), name, f"{out_dir.rstrip('/')}/{question.topic}",
-                        question.title, question.chart, limits.get(name, writers.MAX_RESULT_ROWS))
-        for name, question in QUESTIONS.items() if question.topic in wanted
-    ]
+    published, failures = [], []
+    for name, question in QUESTIONS.items():
+        if question.topic not in wanted:
+            continue
+        try:
+            published.append(writers.publish(answer(spark, processed_dir, name), name,
+                                             f"{out_dir.rstrip('/')}/{question.topic}", question.title, question.chart))
+        except Exception as error:  # the others are published first, then all failures are raised
+            error.add_note(f"while publishing {name}")
+            failures.append(error)
+    if failures:
+        raise ExceptionGroup("questions that could not be published", failures)
+    return published

@@ -31,7 +31,7 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
     """Scan a CSV of unknown types. Costs one more pass; meant for inspecting deliveries only."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+    return spark.read.csv(path, header=True, inferSchema=True, escape='"')
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

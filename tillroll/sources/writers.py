@@ -39,10 +39,10 @@ def bounded_pandas(df: DataFrame, name: str, max_rows: int = MAX_RESULT_ROWS) ->
     return rows
 
 
-def write_result_csv(df: DataFrame, folder: str, name: str) -> str:
-    """Overwrite a small result as one CSV part file with a header."""
+def write_result_csv(df: DataFrame, folder: str, name: str, single: bool = True) -> str:
+    """Overwrite a result as CSV with headers, as one part file if ``single``. Quotes are doubled, as readers expect."""
     path = f"{folder.rstrip('/')}/{name}"
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, header=True, escape='"')
     return path
 
 
@@ -70,34 +70,33 @@ def flags_to_int(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Published:
-    """Paths of one published result and its rows, ready for drawing."""
+    """Paths of one published result, its number of rows, and the frame ready for drawing, flags as numbers."""
 
     name: str
     csv_path: str
     plan_path: str
-    rows: pd.DataFrame
+    row_count: int
+    frame: DataFrame
     chart_path: str | None = None
 
 
 def publish(df: DataFrame, name: str, folder: str, title: str | None = None,
             chart: Callable[[DataFrame], DataFrame] | None = None,
-            max_rows: int = MAX_RESULT_ROWS) -> Published:
-    """Write plan report and CSV of one small result, and of its chart shape if there is one.
+            single_rows: int = MAX_RESULT_ROWS) -> Published:
+    """Write plan report and CSV of one result of any size, and of its chart shape if there is one.
 
-    The result is computed once and its size is checked before the single-file
-    write, so an oversized frame never passes through one task.
+    The result is computed once and counted; up to ``single_rows`` rows go into one part file, more stay
+    in as many as they have. Nothing is collected: ``bounded_pandas`` of the frame does that on request.
     """
     folder = folder.rstrip("/")
     plan_path = append_plan_report(df, f"{folder}/plans", title or name)
     kept = df.persist()
     try:
-        rows = bounded_pandas(flags_to_int(kept), name, max_rows)
-        csv_path = write_result_csv(kept, f"{folder}/csv", name)
+        count = kept.count()
+        csv_path = write_result_csv(kept, f"{folder}/csv", name, count <= single_rows)
         if chart is None:
-            return Published(name, csv_path, plan_path, rows)
-        shaped = chart(kept)
-        rows = bounded_pandas(flags_to_int(shaped), f"{name} chart", max_rows)
-        chart_path = write_result_csv(shaped, f"{folder}/charts", name)
-        return Published(name, csv_path, plan_path, rows, chart_path)
+            return Published(name, csv_path, plan_path, count, flags_to_int(df))
+        chart_path = write_result_csv(chart(kept), f"{folder}/charts", name, count <= single_rows)
+        return Published(name, csv_path, plan_path, count, flags_to_int(chart(df)), chart_path)
     finally:
         kept.unpersist()
