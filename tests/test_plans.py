@@ -218,3 +218,12 @@ def test_mid_sized_dimension_is_measured(spark, tmp_path, skewed, dimensions):
         spark.conf.set(key, before)
     assert answers == (rows(timeline.rolling_activity(fact, people, ages=(30, 31))),
                        rows(timeline.rolling_activity(fact, people, ages=(0, 59))))
+
+
+def test_rows_that_compress_well_are_measured_too(spark, tmp_path, skewed):
+    """The files hold a few kilobytes; in memory the repeated text exceeds the limit."""
+    spark.range(20_000).select(F.concat(F.lit("c"), "id").alias("customer_id"), F.repeat(F.lit("x"), 1_000).alias("note")
+                               ).write.parquet(str(tmp_path / "notes"))
+    notes = spark.read.parquet(str(tmp_path / "notes"))
+    assert not fits_broadcast(notes, skewed)
+    assert fits_broadcast(notes.select("customer_id"), skewed)

@@ -153,20 +153,19 @@ ARTICLE_DDL = ("article_id string, prod_name string, product_type_name string, p
                " detail_desc string, product_code int")
 
 
-def _article(key="0108775015", name="Soft T-SHIRT ", code=108775):
-    return (key, name, "T-SHIRT", "Garment Upper body", "Jersey Basic", "Ladieswear", "Everyday",
-            "Jersey Basic", "BASIC COTTON TOP", code)
+def _article(key, name="Rain COAT ", code=42):
+    return (key, name, "PARKA", "Outerwear", "Weatherproof", "Hikers", "Trails", "Shells", "TAPED Seams", code)
 
 
 def test_clean_articles(spark):
-    data = [_article(name="Zeta Tee"), _article(name="Alpha Tee", code=108776), _article("0739590027", None),
-            _article("0000000001"), _article("0000000001")]
+    data = [_article("0042-b", name="Wax Jacket"), _article("0042-b", name="Anorak", code=43),
+            _article("0042-c", None), _article("0042-a"), _article("0042-a")]
     clean = cleaning.clean_articles(spark.createDataFrame(data, ARTICLE_DDL))
     kept = {r["article_id"]: r for r in clean.collect()}
-    assert set(kept) == {"0108775015", "0000000001"}
-    assert (kept["0108775015"]["prod_name"], kept["0108775015"]["product_code"]) == ("alpha tee", 108776)
-    assert kept["0000000001"]["prod_name"] == "soft t-shirt"
-    assert kept["0000000001"]["detail_desc"] == "basic cotton top"
+    assert set(kept) == {"0042-a", "0042-b"}
+    assert (kept["0042-b"]["prod_name"], kept["0042-b"]["product_code"]) == ("anorak", 43)
+    assert kept["0042-a"]["prod_name"] == "rain coat"
+    assert kept["0042-a"]["detail_desc"] == "taped seams"
     assert clean.columns == [c.split()[0] for c in ARTICLE_DDL.split(", ")]
     assert sorted(rows(cleaning.clean_articles(clean))) == sorted(rows(clean))
 

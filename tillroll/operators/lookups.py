@@ -2,9 +2,9 @@
 
 ``summarise`` picks between two exact plans, per dimension:
 
-* the dimension is small enough to broadcast, by a clear estimate or by
-  measuring it: join first, map-side, then aggregate. The fact table is
-  never shuffled, only its partial aggregates.
+* the dimension is measured to be small enough to broadcast: join first,
+  map-side, then aggregate. The fact table is never shuffled, only its
+  partial aggregates.
 * otherwise: aggregate the fact table by the join key first, then join. Partial
   aggregation folds a hot key into one row per task *before* the shuffle, so a
   key with a third of all rows is no heavier than any other. With several large
@@ -62,10 +62,8 @@ class Lookup(NamedTuple):
     how: str = "inner"
 
 
-# Spark estimates sizes from compressed files, which may hold several times as much in memory.
-# An estimate this much below the limit is trusted; a measured size may exceed the limit by as much.
-EXPANSION = 8
-# Measuring scans the dimension once; it has to be this much smaller than the fact table.
+# Measuring scans the dimension's columns in use once. A scan above the broadcast limit has to be this much
+# smaller than that of the fact table.
 MEASURING_RATIO = 10
 
 # Copies of a large dimension that meets rows still spread over the keys of further ones.
@@ -86,22 +84,21 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, fact: DataFrame) -> bool:
-    """Whether ``df`` is small enough to be broadcast to the tasks that read ``fact``.
+    """Whether ``df``, measured, is small enough to be broadcast to the tasks that read ``fact``.
 
-    The limit is the session's ``spark.sql.autoBroadcastJoinThreshold``. Spark's
-    estimate settles the matter only when it is far below: it is taken from
-    compressed files, and knows nothing of how much a filter keeps. Otherwise the
-    rows are measured, if that is cheap beside scanning ``fact``.
+    The limit is the session's ``spark.sql.autoBroadcastJoinThreshold``. Spark's estimate is taken from compressed
+    files and knows nothing of what a filter keeps, so it never decides for a broadcast. It only tells whether
+    measuring is cheap: the scan is within the limit, or small beside that of ``fact``.
     """
     try:
         limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        if limit <= 0:
+            return False
         size = _estimate(df)
-        if limit <= 0 or size * EXPANSION <= limit:
-            return limit > 0
-        cheap = size * MEASURING_RATIO <= _estimate(fact)
+        cheap = size <= limit or size * MEASURING_RATIO <= _estimate(fact)
     except AttributeError:  # a Connect session shows no estimate: take the plan that needs none
         return False
-    return cheap and measured_bytes(df) <= limit * EXPANSION
+    return cheap and measured_bytes(df) <= limit
 
 
 def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],

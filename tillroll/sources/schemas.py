@@ -4,34 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
-_TYPES = {"text": StringType(), "int": IntegerType(), "double": DoubleType(), "date": DateType()}
-
-
-def _table(columns: str) -> StructType:
-    """Build a schema of nullable fields from ``name:type`` words."""
-    pairs = (word.split(":") for word in columns.split())
-    return StructType([StructField(name, _TYPES[kind], True) for name, kind in pairs])
+# The raw files' columns. Identifiers are text because leading zeros count.
+TRANSACTIONS = StructType([
+    StructField("t_dat", DateType()),
+    StructField("customer_id", StringType()),
+    StructField("article_id", StringType()),
+    StructField("price", DoubleType()),
+    StructField("sales_channel_id", IntegerType()),
+])
 
+CUSTOMERS = StructType([
+    StructField("customer_id", StringType()),
+    StructField("FN", DoubleType()),
+    StructField("Active", DoubleType()),
+    StructField("club_member_status", StringType()),
+    StructField("fashion_news_frequency", StringType()),
+    StructField("age", IntegerType()),
+    StructField("postal_code", StringType()),
+])
 
-# The raw files' columns. Identifiers are text because leading zeros count.
-TRANSACTIONS = _table("t_dat:date customer_id:text article_id:text price:double sales_channel_id:int")
-
-CUSTOMERS = _table(
-    "customer_id:text FN:double Active:double club_member_status:text"
-    " fashion_news_frequency:text age:int postal_code:text"
-)
-
-ARTICLES = _table(
-    "article_id:text product_code:int prod_name:text"
-    " product_type_no:int product_type_name:text product_group_name:text"
-    " graphical_appearance_no:int graphical_appearance_name:text"
-    " colour_group_code:int colour_group_name:text"
-    " perceived_colour_value_id:int perceived_colour_value_name:text"
-    " perceived_colour_master_id:int perceived_colour_master_name:text"
-    " department_no:int department_name:text index_code:text index_name:text"
-    " index_group_no:int index_group_name:text section_no:int section_name:text"
-    " garment_group_no:int garment_group_name:text detail_desc:text"
-)
+ARTICLES = StructType([
+    StructField("article_id", StringType()),
+    StructField("product_code", IntegerType()),
+    StructField("prod_name", StringType()),
+    StructField("product_type_no", IntegerType()),
+    StructField("product_type_name", StringType()),
+    StructField("product_group_name", StringType()),
+    StructField("graphical_appearance_no", IntegerType()),
+    StructField("graphical_appearance_name", StringType()),
+    StructField("colour_group_code", IntegerType()),
+    StructField("colour_group_name", StringType()),
+    StructField("perceived_colour_value_id", IntegerType()),
+    StructField("perceived_colour_value_name", StringType()),
+    StructField("perceived_colour_master_id", IntegerType()),
+    StructField("perceived_colour_master_name", StringType()),
+    StructField("department_no", IntegerType()),
+    StructField("department_name", StringType()),
+    StructField("index_code", StringType()),
+    StructField("index_name", StringType()),
+    StructField("index_group_no", IntegerType()),
+    StructField("index_group_name", StringType()),
+    StructField("section_no", IntegerType()),
+    StructField("section_name", StringType()),
+    StructField("garment_group_no", IntegerType()),
+    StructField("garment_group_name", StringType()),
+    StructField("detail_desc", StringType()),
+])
 
 # An article without one of these is unusable.
 REQUIRED_ARTICLE_COLUMNS = [
@@ -40,5 +58,8 @@ REQUIRED_ARTICLE_COLUMNS = [
 ]
 
 
+_KINDS = {"text": StringType(), "int": IntegerType(), "double": DoubleType(), "date": DateType()}
+
+
 def columns_of(schema: StructType, kind: str) -> list[str]:
-    return [field.name for field in schema if field.dataType == _TYPES[kind]]
+    return [field.name for field in schema if field.dataType == _KINDS[kind]]
