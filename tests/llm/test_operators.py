@@ -224,6 +224,31 @@ def test_simhash_edge_cases(spark, odd):
     assert simhash.group_near_duplicates(simhash.with_fingerprints(odd.limit(0))).count() == 0
 
 
+def _jaccard(a, b):
+    a, b = ({tuple(t.split()[i: i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_similar_texts_have_one_representative(spark, odd):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    base = [[word() for _ in range(160)] for _ in range(30)]
+    rows = [(k, " ".join(b)) for k, b in enumerate(base)]
+    for n in range(150):  # single copies, and one large group whose members all differ
+        k = n if n < 20 else 25
+        copy = list(base[k])
+        copy[rng.randrange(160)] = word()
+        rows.append((100 + n, " ".join(copy)))
+        assert _jaccard(rows[k][1], rows[-1][1]) >= simhash.SIMILARITY
+    half = base[29][:80] + [word() for _ in range(80)]
+    rows += [(400, " ".join(half)), (401, rows[3][1]), (402, " ".join(base[4]).upper())]
+    found = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()
+    assert sorted(r.doc_id for r in found) == [*range(30), 400]
+    ids = [r.doc_id for r in simhash.representatives(odd.where("doc_id is not null"), "doc_id").collect()]
+    assert len(ids) == len(set(ids)) and {0, 4, 5, 6, 7, 8, 9} <= set(ids) and not {1, 2, 11, 12} & set(ids)
+    assert simhash.representatives(odd.limit(0), "doc_id").count() == 0
+
+
 def test_byte_bpe_equals_tiktoken(spark, odd):
     ranks = byte_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -13,47 +13,80 @@ with the least fingerprint under the same value loses no component and adds none
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import keep, lookup, starts, with_columns
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
-#: The pipeline's near-duplicate stage works on shingles of five words.
-PIPELINE_SHINGLE = 5
+#: The pipeline's near-duplicate stage: shingles of five words, similarity of the shingle sets.
+PIPELINE_SHINGLE, SIMILARITY = 5, 0.8
+#: Its fingerprints have so many 64-bit words; so many 32-bit segments of each are indexed.
+WIDE_WORDS, SEGMENTS = 16, 10
+#: Under each value, a fingerprint is compared with so many before it.
+BEFORE = 3
 #: Fingerprints of one segment value that are compared pair by pair.
 BLOCK = 64
 LOW = (1 << 32) - 1
 
 
-def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
-    """The fingerprint of each text as int64; 0 for texts without words."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    out = np.zeros(len(texts), np.uint64)
+def _shingle_hashes(item: list[str], shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of each run of ``shingle`` words of a text, some at a time; of all its words if it has no more."""
     digest = xxhash.xxh64_intdigest
+    parts = [w.encode() for w in item if w]
+    if not parts:
+        return
+    text = b" ".join(parts)
+    if len(parts) <= shingle:
+        yield np.array([digest(text, SEED)], np.uint64)
+        return
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+    begin = np.concatenate([[0], ends[:-1] + 1])
+    first, last = begin[: len(parts) - shingle + 1], ends[shingle - 1:]
+    for at in range(0, len(first), 1 << 12):
+        places = zip(first[at: at + (1 << 12)].tolist(), last[at: at + (1 << 12)].tolist())
+        yield np.array([digest(text[a:b], SEED) for a, b in places], np.uint64)
+
+
+def _prints(texts: pa.Array, shingle: int, spread: Callable[[np.ndarray], np.ndarray], words: int) -> np.ndarray:
+    """A row of ``words`` 64-bit words for each text: bits that over half of its hashes have after ``spread``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    out = np.zeros((len(texts), words), np.uint64)
     for row, item in enumerate(lists.to_pylist()):
-        parts = [w.encode() for w in item if w]
-        if not parts:
-            continue
-        text = b" ".join(parts)
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-        begin = np.concatenate([[0], ends[:-1] + 1])
-        if len(parts) <= shingle:
-            out[row] = digest(text, SEED)
-            continue
-        ones, total = np.zeros(64, np.int64), len(parts) - shingle + 1
-        first, last = begin[:total], ends[shingle - 1:]
-        for at in range(0, total, 1 << 16):
-            hashes = [digest(text[a:b], SEED) for a, b in zip(first[at: at + (1 << 16)].tolist(),
-                                                              last[at: at + (1 << 16)].tolist())]
-            bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.int64)
-        out[row] = np.packbits(2 * ones > total, bitorder="little").view("<u8")[0]
-    return out.view(np.int64)
+        ones, total = np.zeros(64 * words, np.int64), 0
+        for hashes in _shingle_hashes(item, shingle):
+            total += len(hashes)
+            bits = np.unpackbits(spread(hashes).astype("<u8").view(np.uint8).reshape(len(hashes), -1), axis=1, bitorder="little")
+            for at in range(0, len(bits), 255):  # as many as a byte can count
+                ones += bits[at: at + 255].sum(axis=0, dtype=np.uint8)
+        out[row] = np.packbits(2 * ones > total, bitorder="little").view("<u8")
+    return out
+
+
+def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of each text as int64; 0 for texts without words."""
+    return _prints(texts, shingle, lambda h: h, 1)[:, 0].view(np.int64)
+
+
+def wide_fingerprints(texts: pa.Array, shingle: int = PIPELINE_SHINGLE) -> pa.Array:
+    """Fingerprints of ``WIDE_WORDS`` 64-bit words as binaries: each hash is mixed anew for each word."""
+    odd = (np.arange(1, WIDE_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+    def spread(hashes: np.ndarray) -> np.ndarray:
+        x = hashes[:, None] * odd
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(32))
+
+    return pa.array([x.tobytes() for x in _prints(texts, shingle, spread, WIDE_WORDS).astype("<u8")], pa.binary())
 
 
 def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE,
@@ -147,6 +180,61 @@ def group_near_duplicates(prints: DataFrame, id_col: str = "doc_id") -> DataFram
     return lookup(rows, named, "__fp", "rows", spread).drop("__fp")
 
 
+def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(segment and value, node) for the 33 values at most one bit from each indexed segment of ``fp``."""
+    flips = np.concatenate([[0], 1 << np.arange(32)]).astype(np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            prints = np.frombuffer(b"".join(part.column("fp").to_pylist()), "<u4").reshape(part.num_rows, -1)
+            values = prints[:, :SEGMENTS].astype(np.int64) | np.arange(SEGMENTS, dtype=np.int64) << 32
+            near = values[:, :, None] ^ flips
+            node = np.repeat(part.column("node").to_numpy(), near[0].size)
+            yield pa.RecordBatch.from_arrays([pa.array(near.reshape(-1)), pa.array(node)], names=["value", "node"])
+
+
+def similar_links(ids: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (``a``, ``b``) between nodes of ``ids`` (``node``, wide ``fp``) whose shingle sets are about so similar.
+
+    Sets of Jaccard similarity s have a cosine of 2s / (1 + s), and fingerprints differ in a share of bits that is
+    its angle over pi. A Hamming ball of one bit is listed for each indexed segment, so fingerprints meet if some
+    segment differs in at most two bits; under each value every node is compared with the ``BEFORE`` nodes before
+    it, and complete distances are verified. So rows stay in proportion to ``ids`` however large a group of near
+    copies is; its members are linked in turn.
+
+    Meeting is a matter of chance: by the share of differing bits, a pair meets with 71 % at a similarity of 0.8,
+    89 % at 0.85 and 98 % at 0.9, and members of larger groups by any of several links.
+    """
+    most = int(64 * WIDE_WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in ("x", "y"))
+            near = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most)
+            yield batch.select(["a", "b"]).filter(near)
+
+    order = W.partitionBy("value").orderBy("node")
+    met = ids.mapInArrow(_balls, "value long, node long")
+    met = met.select("node", F.array(*[F.lag("node", k).over(order) for k in range(1, BEFORE + 1)]).alias("before"))
+    pairs = met.where(F.get("before", F.lit(0)).isNotNull()).select(F.col("node").alias("a"), F.explode("before").alias("b"))
+    pairs = keep(pairs.where(F.col("a") != F.col("b")).distinct(), "simhash-pairs")
+    x, y = (ids.select(F.col("node").alias(n), F.col("fp").alias(f)) for n, f in (("a", "x"), ("b", "y")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long").distinct()
+
+
+def representatives(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The smallest ``id_col`` (a long) of each group of near duplicates of ``docs``, each once.
+
+    Texts of one wide fingerprint are one node, named by its smallest id, so exact copies cost one row. Texts without
+    words are copies of each other. Rows that repeat an id are one document, linked as any of them is.
+    """
+    prints = with_columns(docs, text_col, "fp binary", lambda t: [wide_fingerprints(t)], [id_col])
+    ids = keep(prints.groupBy("fp").agg(F.min(id_col).alias("node")), "wide-fingerprints")
+    roots = components(similar_links(ids, similarity))
+    later = roots.where(F.col("node") != F.col("root")).select("node")
+    return ids.select("node").join(later, "node", "left_anti").distinct().withColumnRenamed("node", id_col)
+
+
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     prints = keep(with_fingerprints(docs, keep_columns=["doc_id"]), "prints")
