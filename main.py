@@ -27,6 +27,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         for folder in folders:
             command.add_argument(folder)
     commands.choices["clean"].add_argument("--partition-by", nargs="*", default=[])
+    commands.choices["profile"].add_argument("--approx", action="store_true")
     commands.choices["report"].add_argument("--topic", nargs="*", default=[], choices=TOPICS)
     return parser.parse_args(argv)
 
@@ -38,7 +39,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         ingest.ingest(spark, options.raw, options.processed, options.partition_by).show()
     elif options.command == "profile":
         for table in ingest.RAW_TABLES:
-            for name, frame in ingest.profiles(ingest.read_raw(spark, options.raw, table), table).items():
+            raw = ingest.read_raw(spark, options.raw, table)
+            for name, frame in ingest.profiles(raw, table, options.approx).items():
                 writers.write_result_csv(frame, f"{options.out.rstrip('/')}/{table}", name)
     else:
         for done in report.publish_answers(spark, options.processed, options.out, options.topic):

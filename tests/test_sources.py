@@ -51,6 +51,18 @@ def processed_dir(spark, raw_dir, tmp_path_factory):
     return folder
 
 
+def test_ingest_keeps_constant_columns_that_questions_read(spark, raw_dir, tmp_path):
+    for file in ("transactions_train.csv", "articles.csv"):
+        (tmp_path / file).write_text(open(f"{raw_dir}/{file}").read())
+    same = CUSTOMERS_CSV.replace("LEFT CLUB", "ACTIVE").replace("q4,,0.0", "q4,0.0,0.0")
+    (tmp_path / "customers.csv").write_text(same.replace("z-91", "z-90"))
+    ingest.ingest(spark, str(tmp_path), str(tmp_path / "out"))
+    kept = readers.read_table(spark, str(tmp_path / "out"), "customers")
+    assert set(ingest.QUESTION_COLUMNS) <= set(kept.columns)
+    assert {r["club_member_status"] for r in kept.collect()} == {"ACTIVE"} and kept.count() == 3
+    assert report.answer(spark, str(tmp_path / "out"), "age_histogram").count() > 0
+
+
 def test_csv_types_and_leading_zeros(spark, raw_dir):
     frame = readers.read_transactions(spark, f"{raw_dir}/transactions_train.csv")
     assert frame.dtypes == [("t_dat", "date"), ("customer_id", "string"), ("article_id", "string"),
@@ -81,6 +93,8 @@ def test_profiles(spark, raw_dir):
     assert {"numbers", "sales_channel_id_distribution", "columns"} <= set(frames["transactions"])
     assert all(f.count() > 0 for reports in frames.values() for f in reports.values())
     assert dict(rows(frames["customers"]["nulls"]))["FN"] == 1
+    raw = ingest.read_raw(spark, raw_dir, "customers")
+    assert ingest.profiles(raw, "customers", approx=True)["columns"].count() == len(raw.columns)
 
 
 def test_partitioned_table_is_pruned(spark, processed_dir):

@@ -33,7 +33,7 @@ def channel_shares(revenue: DataFrame, channels: Sequence[str] = ("Store", "Onli
 def department_channel_matrix(departments: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
     """One column per channel, largest department first."""
     grid = shaping.pivot_sum(departments, "department_name", "channel_name", "purchase_count", channels)
-    row_sum = sum((F.col(c) for c in grid.columns[2:]), F.col(grid.columns[1]))
+    row_sum = sum((F.col(c) for c in grid.columns[1:]), F.lit(0).cast("long"))  # without any channel for an empty table
     return grid.orderBy(row_sum.desc(), "department_name")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +23,16 @@ class RawTable(NamedTuple):
     relative_error: float
 
 
+#: Customer columns that questions read: they stay, even where a delivery has one value for all customers.
+QUESTION_COLUMNS = ["club_member_status", "fashion_news_frequency", "age"]
+
 # The delivered file names and the columns profiled in each.
 RAW_TABLES: Mapping[str, RawTable] = {
     "transactions": RawTable("transactions_train.csv", schemas.TRANSACTIONS, cleaning.clean_transactions,
                              ["price"], ["sales_channel_id"], 0.01),
     "articles": RawTable("articles.csv", schemas.ARTICLES, cleaning.clean_articles, [], [], 0.01),
-    "customers": RawTable("customers.csv", schemas.CUSTOMERS, cleaning.clean_customers,
-                          ["FN", "Active", "age"], [], 0.05),
+    "customers": RawTable("customers.csv", schemas.CUSTOMERS,
+                          partial(cleaning.clean_customers, keep=QUESTION_COLUMNS), ["FN", "Active", "age"], [], 0.05),
 }
 
 
@@ -47,13 +51,16 @@ def verify(spark: SparkSession, raw_dir: str) -> DataFrame:
     return quality.verify_datasets(spark, {name: loader(t.file) for name, t in RAW_TABLES.items()})
 
 
-def profiles(raw: DataFrame, name: str) -> dict[str, DataFrame]:
-    """Profile frames of one raw table; each is lazy and costs one pass when used."""
+def profiles(raw: DataFrame, name: str, approx: bool = False) -> dict[str, DataFrame]:
+    """Profile frames of one raw table; each is lazy and costs one pass when used.
+
+    ``approx`` counts the distinct values of columns by sketches.
+    """
     table = RAW_TABLES[name]
     reports = {
         "load_check": quality.load_check(raw),
         "describe": quality.describe_columns(raw),
-        "columns": quality.profile_columns(raw, nan_is_missing=True),
+        "columns": quality.profile_columns(raw, approx=approx, nan_is_missing=True),
         "nulls": quality.null_counts(raw, nan_is_missing=True),
         "duplicates": quality.duplicate_count(raw),
     }
@@ -69,7 +76,8 @@ def ingest(spark: SparkSession, raw_dir: str, processed_dir: str,
            partition_transactions_by: Sequence[str] = ()) -> DataFrame:
     """Clean and write all tables; return rows read, kept and removed per table.
 
-    The counts are observed while the table is written, so they cost no pass.
+    The counts are observed while the table is written, so they cost no pass. Customers keep ``QUESTION_COLUMNS``;
+    rows that lack one of them are removed and counted as such, all of them if a delivery leaves it empty.
     """
     report = []
     for name, table in RAW_TABLES.items():
