@@ -249,6 +249,28 @@ def test_similar_texts_have_one_representative(spark, odd):
     assert simhash.representatives(odd.limit(0), "doc_id").count() == 0
 
 
+def test_similar_links_are_exact(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    shared = [word() for _ in range(40)]  # a passage under whose shingles unlike texts lie between near copies
+    texts = [[*(word() for _ in range(20)), *shared, *(word() for _ in range(20))] for _ in range(40)]
+    for n in range(160):  # copies with some words replaced: similarities on both sides of 0.8
+        copy = list(texts[n % 40])
+        for at in rng.sample(range(len(copy)), rng.choice([1, 2, 2, 3])):
+            copy[at] = word()
+        texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if _jaccard(texts[a], texts[b]) >= simhash.SIMILARITY:
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    found = simhash.representatives(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id")
+    assert sorted(r.doc_id for r in found.collect()) == sorted(set(root)) and len(set(root)) > 45
+
+
 def test_byte_bpe_equals_tiktoken(spark, odd):
     ranks = byte_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})

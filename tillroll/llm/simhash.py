@@ -14,7 +14,8 @@ with the least fingerprint under the same value loses no component and adds none
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ from tillroll.llm.common import keep, lookup, starts, with_columns
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 #: The pipeline's near-duplicate stage: shingles of five words, similarity of the shingle sets.
 PIPELINE_SHINGLE, SIMILARITY = 5, 0.8
-#: Its fingerprints have so many 64-bit words; so many 32-bit segments of each are indexed.
-WIDE_WORDS, SEGMENTS = 16, 10
-#: Under each value, a fingerprint is compared with so many before it.
+#: Under each indexed hash, a text is compared with so many before it first.
 BEFORE = 3
+#: Common shingles are counted in one of so many texts; so many are told apart from rare ones.
+COMMON_PART, COMMON = 16, 1_000_000
 #: Fingerprints of one segment value that are compared pair by pair.
 BLOCK = 64
 LOW = (1 << 32) - 1
@@ -56,37 +57,19 @@ def _shingle_hashes(item: list[str], shingle: int) -> Iterator[np.ndarray]:
         yield np.array([digest(text[a:b], SEED) for a, b in places], np.uint64)
 
 
-def _prints(texts: pa.Array, shingle: int, spread: Callable[[np.ndarray], np.ndarray], words: int) -> np.ndarray:
-    """A row of ``words`` 64-bit words for each text: bits that over half of its hashes have after ``spread``."""
+def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of each text as int64, the bits that over half of its hashes have; 0 for texts without words."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    out = np.zeros((len(texts), words), np.uint64)
+    out = np.zeros(len(texts), np.uint64)
     for row, item in enumerate(lists.to_pylist()):
-        ones, total = np.zeros(64 * words, np.int64), 0
+        ones, total = np.zeros(64, np.int64), 0
         for hashes in _shingle_hashes(item, shingle):
             total += len(hashes)
-            bits = np.unpackbits(spread(hashes).astype("<u8").view(np.uint8).reshape(len(hashes), -1), axis=1, bitorder="little")
+            bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(len(hashes), -1), axis=1, bitorder="little")
             for at in range(0, len(bits), 255):  # as many as a byte can count
                 ones += bits[at: at + 255].sum(axis=0, dtype=np.uint8)
-        out[row] = np.packbits(2 * ones > total, bitorder="little").view("<u8")
-    return out
-
-
-def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
-    """The fingerprint of each text as int64; 0 for texts without words."""
-    return _prints(texts, shingle, lambda h: h, 1)[:, 0].view(np.int64)
-
-
-def wide_fingerprints(texts: pa.Array, shingle: int = PIPELINE_SHINGLE) -> pa.Array:
-    """Fingerprints of ``WIDE_WORDS`` 64-bit words as binaries: each hash is mixed anew for each word."""
-    odd = (np.arange(1, WIDE_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-    def spread(hashes: np.ndarray) -> np.ndarray:
-        x = hashes[:, None] * odd
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
-
-    return pa.array([x.tobytes() for x in _prints(texts, shingle, spread, WIDE_WORDS).astype("<u8")], pa.binary())
+        out[row] = np.packbits(2 * ones > total, bitorder="little").view("<u8")[0]
+    return out.view(np.int64)
 
 
 def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE,
@@ -180,59 +163,132 @@ def group_near_duplicates(prints: DataFrame, id_col: str = "doc_id") -> DataFram
     return lookup(rows, named, "__fp", "rows", spread).drop("__fp")
 
 
-def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(segment and value, node) for the 33 values at most one bit from each indexed segment of ``fp``."""
-    flips = np.concatenate([[0], 1 << np.arange(32)]).astype(np.int64)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            prints = np.frombuffer(b"".join(part.column("fp").to_pylist()), "<u4").reshape(part.num_rows, -1)
-            values = prints[:, :SEGMENTS].astype(np.int64) | np.arange(SEGMENTS, dtype=np.int64) << 32
-            near = values[:, :, None] ^ flips
-            node = np.repeat(part.column("node").to_numpy(), near[0].size)
-            yield pa.RecordBatch.from_arrays([pa.array(near.reshape(-1)), pa.array(node)], names=["value", "node"])
+def text_key(text_col: str = "text") -> Column:
+    """SHA-256 of a text: with an id, the key of a row. A NULL text counts as an empty one."""
+    return F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
 
 
-def similar_links(ids: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (``a``, ``b``) between nodes of ``ids`` (``node``, wide ``fp``) whose shingle sets are about so similar.
+def _sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """The distinct shingle hashes of each text, ascending; none for texts without words."""
+    for item in pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))).to_pylist():
+        hashes = list(_shingle_hashes(item, shingle))
+        yield np.unique(np.concatenate(hashes).view(np.int64)) if hashes else np.zeros(0, np.int64)
 
-    Sets of Jaccard similarity s have a cosine of 2s / (1 + s), and fingerprints differ in a share of bits that is
-    its angle over pi. A Hamming ball of one bit is listed for each indexed segment, so fingerprints meet if some
-    segment differs in at most two bits; under each value every node is compared with the ``BEFORE`` nodes before
-    it, and complete distances are verified. So rows stay in proportion to ``ids`` however large a group of near
-    copies is; its members are linked in turn.
 
-    Meeting is a matter of chance: by the share of differing bits, a pair meets with 71 % at a similarity of 0.8,
-    89 % at 0.85 and 98 % at 0.9, and members of larger groups by any of several links.
-    """
-    most = int(64 * WIDE_WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def _lists(items: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(starts(np.array([len(x) for x in items])).astype(np.int32),
+                                    np.concatenate([*items, np.zeros(0, np.int64)]))
+
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in ("x", "y"))
-            near = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most)
-            yield batch.select(["a", "b"]).filter(near)
+def common_shingles(docs: DataFrame, text_col: str = "text", shingle: int = PIPELINE_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes that several texts of a sample have, ascending, and their counts; ``COMMON`` at most.
 
-    order = W.partitionBy("value").orderBy("node")
-    met = ids.mapInArrow(_balls, "value long, node long")
-    met = met.select("node", F.array(*[F.lag("node", k).over(order) for k in range(1, BEFORE + 1)]).alias("before"))
-    pairs = met.where(F.get("before", F.lit(0)).isNotNull()).select(F.col("node").alias("a"), F.explode("before").alias("b"))
-    pairs = keep(pairs.where(F.col("a") != F.col("b")).distinct(), "simhash-pairs")
-    x, y = (ids.select(F.col("node").alias(n), F.col("fp").alias(f)) for n, f in (("a", "x"), ("b", "y")))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long").distinct()
+    They only set the order in which shingles are indexed: any order finds all pairs, this one at less cost.
+    """
+    rows = docs.select(F.col(text_col).cast("string").alias("__t"), F.xxhash64(text_col).alias("__h"))
+    rows = rows.where(F.pmod("__h", F.lit(COMMON_PART)) == 0).dropDuplicates(["__h"])
+    sets = with_columns(rows, "__t", "hashes array<bigint>", lambda t: [_lists(list(_sets(t, shingle)))], [])
+    counts = sets.select(F.explode("hashes").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where(F.col("n") > 1).orderBy(F.col("n").desc(), "value").limit(COMMON).toArrow()
+    values, counts = (found.column(c).to_numpy() for c in ("value", "n"))
+    order = np.argsort(values)
+    return values[order], counts[order]
+
+
+def _prefixes(texts: pa.Array, shingle: int, common: tuple[np.ndarray, np.ndarray], part: Fraction) -> list[pa.Array]:
+    """Digest and size of each text's shingle set, and its first hashes, rare ones first: sets as similar as ``part``
+    have one of theirs in common."""
+    values, counts = common
+    digests, sizes, firsts = [], [], []
+    for item in _sets(texts, shingle):
+        n = len(item)
+        often = np.zeros(n, np.int64)
+        if n and len(values):
+            at = np.minimum(np.searchsorted(values, item), len(values) - 1)
+            often = np.where(values[at] == item, counts[at], 0)
+        digests.append(xxhash.xxh3_128_digest(item.tobytes()))
+        sizes.append(n)
+        firsts.append(item[np.lexsort((item, often))[: n and n - math.ceil(part * n) + 1]])
+    return [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _lists(firsts)]
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, part: Fraction) -> DataFrame:
+    """The ``pairs`` (``a``, ``b``) whose complete shingle sets have a Jaccard similarity of at least ``part``.
+
+    First the indexed hashes bound what two sets can share; sets are made again from the texts of what is left.
+    """
+    def enough(shared: Column) -> Column:
+        return shared * (part.numerator + part.denominator) >= part.numerator * (F.col("na") + F.col("nb"))
+
+    def joined(pairs: DataFrame, table: DataFrame) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(table.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("hashes").alias(f"h{x}")), x)
+        return pairs
+
+    same = F.size(F.array_intersect("ha", "hb")).cast("long")
+    rest = F.greatest(F.col("na") - F.size("ha"), F.col("nb") - F.size("hb"))
+    likely = joined(pairs, nodes.select("node", "n", F.col("prefix").alias("hashes"))).where(enough(same + rest))
+    likely = keep(likely.select("a", "b"), "similar-likely")
+    wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    wanted = keep(wanted.join(nodes, "node").select("node", "row.*"), "similar-wanted")
+    texts = docs.join(wanted, ["id", "sha"]).select("node", "__t")
+    sets = with_columns(texts, "__t", "hashes array<bigint>", lambda t: [_lists(list(_sets(t, shingle)))], ["node"])
+    sets = sets.groupBy("node").agg(F.first("hashes").alias("hashes"))
+    sets = keep(sets.select("node", F.size("hashes").cast("long").alias("n"), "hashes"), "similar-sets")
+    return keep(joined(likely, sets).where(enough(same)).select("a", "b"), "similar-links")
+
+
+def similar_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, shingle: int = PIPELINE_SHINGLE) -> DataFrame:
+    """Links (``a``, ``b``) with the components that all pairs of ``nodes`` of at least ``similarity`` have.
+
+    Two sets of similarity s share a hash among the first n - ceil(s * n) + 1 of each, in any one order of all hashes,
+    and that hash is early enough for what follows it to make up the overlap. So under each indexed hash a node is
+    compared with the ``BEFORE`` nodes before it, by size; then, where more nodes share a hash, all pairs that
+    are not in one component yet are compared as well. All links are verified on the complete sets.
+    """
+    part = Fraction(str(similarity))
+
+    def candidates(rows: DataFrame) -> DataFrame:
+        most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+        able = most * (part.numerator + part.denominator) >= part.numerator * (F.col("x.n") + F.col("y.n"))
+        a, b = F.col("x.node"), F.col("y.node")
+        return keep(rows.where(able & (a != b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "similar-pairs")
+
+    entries = nodes.select("node", "n", F.posexplode("prefix").alias("place", "value"))
+    own, order = F.struct("node", "n", "place"), W.partitionBy("value").orderBy("n", "node")
+    entries = entries.select("value", own.alias("x"), F.array(*[F.lag(own, k).over(order) for k in range(1, BEFORE + 1)]).alias("before"),
+                             F.count(F.lit(1)).over(W.partitionBy("value")).alias("rows"))
+    entries = keep(entries.where(F.col("rows") > 1), "similar-entries")
+    near = entries.select("x", F.explode("before").alias("y")).where(F.col("y").isNotNull())
+    links = _verified(candidates(near), nodes, docs, shingle, part)
+    roots = components(links)
+    large = entries.where(F.col("rows") > BEFORE + 1).select("value", "x", F.col("x.node").alias("node"))
+    large = large.join(roots, "node", "left").select("value", "x", F.coalesce("root", "node").alias("root"))
+    large = keep(large, "similar-large")
+    classes = large.select("value", "root").distinct()
+    several = classes.groupBy("value").agg(F.count(F.lit(1)).alias("roots")).where(F.col("roots") > 1).select("value")
+    classes = classes.join(several, "value")
+    apart = classes.withColumnRenamed("root", "p").join(classes.withColumnRenamed("root", "q"), "value").where(F.col("p") < F.col("q"))
+    apart = apart.join(large.withColumnRenamed("root", "p"), ["value", "p"])
+    apart = apart.join(large.select("value", F.col("root").alias("q"), F.col("x").alias("y")), ["value", "q"])
+    return links.union(_verified(candidates(apart), nodes, docs, shingle, part))
 
 
 def representatives(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The smallest ``id_col`` (a long) of each group of near duplicates of ``docs``, each once.
+    """``id_col`` (a long, not NULL) and ``sha`` (``text_key``) of the first row of each group of near duplicates.
 
-    Texts of one wide fingerprint are one node, named by its smallest id, so exact copies cost one row. Texts without
-    words are copies of each other. Rows that repeat an id are one document, linked as any of them is.
+    Texts of one shingle set are one node, so exact copies cost one row. Texts without words are copies of each
+    other. A row is what id and text make it: rows that share an id are told apart by their texts.
     """
-    prints = with_columns(docs, text_col, "fp binary", lambda t: [wide_fingerprints(t)], [id_col])
-    ids = keep(prints.groupBy("fp").agg(F.min(id_col).alias("node")), "wide-fingerprints")
-    roots = components(similar_links(ids, similarity))
-    later = roots.where(F.col("node") != F.col("root")).select("node")
-    return ids.select("node").join(later, "node", "left_anti").distinct().withColumnRenamed("node", id_col)
+    part, common = Fraction(str(similarity)), common_shingles(docs, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("sha"), F.col(text_col).cast("string").alias("__t"))
+    found = with_columns(rows, "__t", "digest binary, n long, prefix array<bigint>",
+                         lambda t: _prefixes(t, PIPELINE_SHINGLE, common, part), ["id", "sha"])
+    nodes = found.groupBy("digest").agg(F.min(F.struct("id", "sha")).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    nodes = keep(nodes.select(F.monotonically_increasing_id().alias("node"), "row", "n", "prefix"), "similar-nodes")
+    roots = components(similar_links(nodes, rows, similarity))
+    firsts = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("row").alias("row"))
+    return firsts.select(F.col("row.id").alias(id_col), F.col("row.sha").alias("sha"))
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
