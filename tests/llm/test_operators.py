@@ -271,6 +271,23 @@ def test_similar_links_are_exact(spark):
     assert sorted(r.doc_id for r in found.collect()) == sorted(set(root)) and len(set(root)) > 45
 
 
+def test_repeated_shingles_count_once(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    phrase = " ".join(word() for _ in range(6))
+    texts = [" ".join([phrase] * 200 + [word() for _ in range(60)]) for _ in range(6)]  # one phrase repeated, else unlike
+    base = [word() for _ in range(204)]  # 200 shingles
+    just, under = list(base), list(base)
+    for at in (0, 5, 50, 100, 150):  # replaced: 1 + 4 * 5 = 21 shingles of 200
+        just[at] = word()
+    for at in (20, 50, 100, 150, 180):
+        under[at] = word()
+    texts += [" ".join(base), " ".join(just), " ".join(under)]
+    ids = sorted(r.doc_id for r in simhash.representatives(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id").collect())
+    linked = {(a, b) for a in range(9) for b in range(a) if _jaccard(texts[a], texts[b]) >= simhash.SIMILARITY}
+    assert ids == [k for k in range(9) if not any(a == k for a, _ in linked)] and ids[:6] == list(range(6))
+
+
 def test_byte_bpe_equals_tiktoken(spark, odd):
     ranks = byte_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
