@@ -288,6 +288,21 @@ def test_repeated_shingles_count_once(spark):
     assert ids == [k for k in range(9) if not any(a == k for a, _ in linked)] and ids[:6] == list(range(6))
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    texts = [" ".join(word() for _ in range(60)) for _ in range(12)]
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+    texts += [texts[0], texts[1] + " x", leak]
+    docs = spark.createDataFrame([(None if k % 3 else 5, t, "en", "s", len(t)) for k, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    near = stages["near_dedup"](spark, docs, SF)
+    kept = [r.text for r in near.collect()]
+    assert len(kept) == 13 and set(texts[2:12]) | {texts[0], leak} <= set(kept) and len({texts[1], texts[13]} & set(kept)) == 1
+    assert sorted(r.text for r in stages["decontamination"](spark, near, SF).collect()) == sorted(set(kept) - {leak})
+
+
 def test_byte_bpe_equals_tiktoken(spark, odd):
     ranks = byte_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
