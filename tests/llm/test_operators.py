@@ -131,6 +131,16 @@ def test_word_encoder_on_odd_words():
     assert token_ids.WordEncoder(text, "<u2").encode(words) == wanted
 
 
+def test_token_ids_keep_added_tokens(spark):
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = ["a <|endoftext|> b", "foo<|startoftext|>Bar's é<|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "漢<|endoftext|>字 plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, width = token_ids.tokenize(docs, library.to_str(), "text", ["doc_id"])
+    for r in rows.collect():
+        wanted = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, width).tolist() == wanted + [token_ids.END_ID]
+
+
 def test_rank_coding_round_trip():
     ranks = np.array([0, 255, 256, 65535, 65536, 1 << 24, 7, 2 ** 32 - 1], np.uint32)
     counts = np.array([3, 0, 5])

@@ -40,7 +40,8 @@ class WordEncoder:
 
     Words of Latin letters, digits and signs alone (code points below U+0250, where normal forms and classes are
     settled) are lower-cased and split here, and only their distinct pieces go to the library's model, which is
-    several times faster than a call for each word. Any other word takes the library's whole way.
+    several times faster than a call for each word. Any other word takes the library's whole way. So do words that
+    hold an added token, unless ``added_as_text``: the library then reads such a token as plain characters.
     """
 
     PLAIN = regex.compile("[^\x85\xa0\u0250-\U0010ffff]*")
@@ -50,12 +51,17 @@ class WordEncoder:
     #: Byte-level models name a byte that does not print by the code points from 256 on.
     NAMES = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
 
-    def __init__(self, tokenizer_json: str, width: str):
+    def __init__(self, tokenizer_json: str, width: str, added_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor share its cores already
         self.tokenizer, self.width = Tokenizer.from_str(tokenizer_json), width
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = added_as_text
         self.model = self.tokenizer.model
-        own = json.loads(tokenizer_json).get("pre_tokenizer") or {}
+        whole = json.loads(tokenizer_json)
+        added = [] if added_as_text else [t["content"] for t in whole.get("added_tokens", [])]
+        if any(regex.search(r"\s", t) for t in added):
+            raise ValueError("an added token with white space is not part of a word")
+        self.added = regex.compile("|".join(map(regex.escape, added)) or "(?!)", regex.IGNORECASE).search
+        own = whole.get("pre_tokenizer") or {}
         patterns = [x.get("pattern", {}).get("Regex") for x in own.get("pretokenizers", [])]
         self.fast = self.PIECES.pattern in patterns
         self.known: dict[str, bytes] = {}
@@ -68,10 +74,10 @@ class WordEncoder:
             known.clear()
             self.pieces.clear()
             fresh = distinct
-        plain, find, piece = self.PLAIN.fullmatch, self.PIECES.findall, self._piece
+        plain, find, piece, held = self.PLAIN.fullmatch, self.PIECES.findall, self._piece, self.added
         other = []
         for word in fresh:
-            if self.fast and plain(word):
+            if self.fast and plain(word) and not held(word):
                 low = word.lower()
                 if low.isalpha():
                     known[word] = piece(low)
@@ -108,7 +114,7 @@ def tokenize(docs: DataFrame, tokenizer_json: str, text_col: str, keep_columns:
 
     def encode(texts: pa.Array) -> list:
         if not state:
-            state["words"] = WordEncoder(tokenizer_json, width)
+            state["words"] = WordEncoder(tokenizer_json, width, added_as_text=False)
         codes, counts, distinct = words(texts)
         table = state["words"].encode(distinct.to_pylist())
         sizes = np.fromiter(map(len, table), np.int64, len(table)) // item
