@@ -346,6 +346,23 @@ def test_decontamination_finds_edited_passages(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(100, 0), (101, 1), (102, 2), (103, 3), (None, 2)}
 
 
+def test_passages_with_early_edits_are_found():
+    rng = random.Random(14)
+    item = "".join(rng.choices("abcdefghij ", k=300)).replace("  ", "ab")
+    item = decontaminate.normalize(item)
+    (index,) = decontaminate.build([(1, item)])
+    for begin, size, edits in [(0, 110, (7, 15, 23)), (40, 100, (7, 15, 23)), (90, 101, (3, 9, 17, 25)), (len(item) - 100, 100, (7, 15, 23)),
+                               (20, 120, (5, 12, 20, 28, 36, 44)), (0, 100, (5, 12, 20, 28, 36, 44, 52, 60, 68))]:
+        part = list(item[begin: begin + size])
+        for at in edits:
+            part[at] = "#"
+        text = "".join(rng.choices("klmnopqrst", k=50)) + "".join(part) + "".join(rng.choices("klmnopqrst", k=50))
+        points = decontaminate._points(text)
+        brute = any(decontaminate.banded_distance(decontaminate._points(item[k: k + 100]), points, 50 + k - begin - 50, 200, 6) <= 6
+                    for k in range(max(0, begin - 12), min(len(item) - 100, begin + size - 88) + 1))
+        assert bool(decontaminate.matches(index, points, decontaminate._grams(points))) == brute == (len(edits) < 9)
+
+
 def test_decontamination_equals_containment(spark, docs):
     items = {r.item_id: decontaminate.normalize(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     whole = {(d, i) for d, t in docs.items() for i, b in items.items() if b in decontaminate.normalize(t)}

@@ -118,6 +118,19 @@ def banded_distance(pattern: np.ndarray, text: np.ndarray, offset: int, half: in
     return int(row.min())
 
 
+def _stretches(places: np.ndarray, full: np.ndarray, last: int, span: int, length: int, group: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Starts of the stretches of an item that hold a window of places ``k`` .. ``k + last``, and ``k``: first where
+    the windows begin, then those before, since edits may have taken the q-grams from a stretch's start on."""
+    tried = set()
+    for early in (False, True):
+        for k in full.tolist():
+            top = min(int(places[k]), length - span)
+            for first in range(top - 1, max(0, int(places[k + last]) - (span - Q)) - 1, -1) if early else [top]:
+                if (first, int(group[k])) not in tried:
+                    tried.add((first, int(group[k])))
+                    yield first, k
+
+
 def matches(index: Index, points: np.ndarray, grams: np.ndarray) -> dict[int, tuple[int, int, int]]:
     """Items of ``index`` found in one document: item -> (place, length, edits) of the first verified region."""
     at = index.dense(grams)
@@ -149,8 +162,7 @@ def matches(index: Index, points: np.ndarray, grams: np.ndarray) -> dict[int, tu
         last = shared - 1
         full = np.flatnonzero((group[last:] == group[: max(0, len(group) - last)])
                               & (places[last:] - places[: max(0, len(places) - last)] <= span - Q))
-        for k in full:
-            first = min(int(places[k]), len(item) - span)
+        for first, k in _stretches(places, full, last, span, len(item), group):
             offset = first + (int(group[k]) + 1) * step
             got = banded_distance(item[first: first + span], points, offset, step + edits, edits)
             if got <= edits:
