@@ -66,6 +66,25 @@ def _article_counts(attribute: str, condition: str) -> str:
             f" WHERE {condition} GROUP BY {attribute}")
 
 
+def _gaps(purchases: str) -> str:
+    return f"""
+  SELECT CAST(date_diff('day', first_day, second_day) AS INT) AS days_between, count(*) AS customers_count
+  FROM (SELECT min(t_dat) AS first_day, max(t_dat) AS second_day
+        FROM (SELECT customer_id, t_dat, row_number() OVER (PARTITION BY customer_id ORDER BY t_dat) AS rn
+              FROM {purchases})
+        WHERE rn <= 2 GROUP BY customer_id HAVING count(*) = 2)
+  GROUP BY days_between"""
+
+
+GAP_BUCKETS = f"""
+  SELECT bucket_label, CAST(coalesce(sum(customers_count), 0) AS BIGINT) AS customers_count,
+         round({_pct('coalesce(sum(customers_count), 0)', 'sum(sum(customers_count)) OVER ()')}, 6)
+           AS customers_share_pct
+  FROM (VALUES (0, 0, '0 days (same day)'), (1, 7, '1-7 days'), (8, 30, '8-30 days'), (31, 90, '31-90 days'),
+               (91, 180, '91-180 days'), (181, 365, '181-365 days'), (366, 99999999, '366+ days'))
+       AS b(lo, hi, bucket_label)
+  LEFT JOIN src ON days_between BETWEEN lo AND hi GROUP BY bucket_label"""
+
 QUESTIONS = {
     "q01": """
   SELECT lo || '-' || (lo + 4) AS age_group, count(*) AS customer_count
@@ -115,13 +134,8 @@ QUESTIONS = {
                count(*) FILTER (month(t_dat) IN (6, 7, 8)) AS summer_sales
         FROM sales JOIN articles USING (article_id)
         WHERE month(t_dat) IN (12, 1, 2, 6, 7, 8) GROUP BY product_group_name)""",
-    "q09": """
-  SELECT CAST(date_diff('day', first_day, second_day) AS INT) AS days_between, count(*) AS customers_count
-  FROM (SELECT min(d) AS first_day, max(d) AS second_day
-        FROM (SELECT o_custkey AS c, CAST(o_orderdate AS DATE) AS d,
-                     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS rn FROM orders)
-        WHERE rn <= 2 GROUP BY c HAVING count(*) = 2)
-  GROUP BY days_between""",
+    "q09": _gaps("sales"),
+    "q09_orders": _gaps("(SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS t_dat FROM orders)"),
     "q10": """
   SELECT month_start, t_dat, daily_revenue, monthly_revenue, monthly_median_daily,
          round(CAST(daily_revenue AS DOUBLE) / monthly_revenue, 6) AS monthly_share,
@@ -264,14 +278,8 @@ QUESTIONS = {
 
 # Shapings, each a SELECT over the question it shapes, called src.
 SHAPINGS = {
-    "v01_gap_buckets": ("q09", f"""
-  SELECT bucket_label, CAST(coalesce(sum(customers_count), 0) AS BIGINT) AS customers_count,
-         round({_pct('coalesce(sum(customers_count), 0)', 'sum(sum(customers_count)) OVER ()')}, 6)
-           AS customers_share_pct
-  FROM (VALUES (0, 0, '0 days (same day)'), (1, 7, '1-7 days'), (8, 30, '8-30 days'), (31, 90, '31-90 days'),
-               (91, 180, '91-180 days'), (181, 365, '181-365 days'), (366, 99999999, '366+ days'))
-       AS b(lo, hi, bucket_label)
-  LEFT JOIN src ON days_between BETWEEN lo AND hi GROUP BY bucket_label"""),
+    "v01_gap_buckets": ("q09", GAP_BUCKETS),
+    "v01_gap_buckets_by_order": ("q09_orders", GAP_BUCKETS),
     "v02_channel_shares": ("q13", f"""
   SELECT {_title('index_group_name')} AS index_group_name,
          round({_pct('store', 'store + online')} / 100, 6) AS "Store",
@@ -341,7 +349,7 @@ NAMES = {
     "q01": "q01_age_histogram", "q02": "q02_purchases_by_news", "q03": "q03_top_postal_codes",
     "q04": "q04_spend_quartiles", "q05": "q05_youth_departments", "q06": "q06_new_customers",
     "q07": "q07_weekly_dynamics", "q07_iso": "q07_weekly_dynamics_iso_year", "q08": "q08_seasonal_spike",
-    "q09": "q09_retention_gaps", "q10": "q10_peak_days", "q11": "q11_rolling_activity",
+    "q09": "q09_retention_gaps", "q09_orders": "q09_retention_gaps_by_order", "q10": "q10_peak_days", "q11": "q11_rolling_activity",
     "q12": "q12_weekday_segments", "q13": "q13_revenue_by_group_channel", "q14": "q14_weekday_price_rank",
     "q15": "q15_top_product_share", "q16": "q16_monthly_growth", "q17": "q17_news_reader_check",
     "q18": "q18_running_revenue", "q19": "q19_articles_per_group", "q20": "q20_department_sales",
@@ -422,6 +430,12 @@ WITH typed AS (
 SELECT * FROM typed QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY {order}) = 1"""
 
 
+CLEAN_COUNTS = f"""
+WITH {BINDING} SELECT count(*) AS before_rows,
+       count(*) FILTER (department_name IS NOT NULL AND perceived_colour_value_name IS NOT NULL) AS after_rows,
+       count(*) FILTER (department_name IS NULL OR perceived_colour_value_name IS NULL) AS removed_rows
+FROM articles"""
+
 QUALITY = {
     "load_check": "WITH n AS (SELECT count(*) AS n_rows FROM lineitem) " + _union([
         f"SELECT '{pair.split(':')[0]}' AS \"column\", {i} AS position, '{pair.split(':')[1]}' AS type,"
@@ -465,11 +479,8 @@ SELECT p_partkey, lower(trim(p_brand)) AS p_brand, lower(trim(p_type)) AS p_type
 SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS t_dat, CAST(year(o_orderdate) AS INT) AS year,
        CAST(month(o_orderdate) AS INT) AS month, CAST(dayofweek(o_orderdate) + 1 AS INT) AS day_of_week
 FROM orders""",
-    "observed_clean_counts": f"""
-WITH {BINDING} SELECT count(*) AS before_rows,
-       count(*) FILTER (department_name IS NOT NULL AND perceived_colour_value_name IS NOT NULL) AS after_rows,
-       count(*) FILTER (department_name IS NULL OR perceived_colour_value_name IS NULL) AS removed_rows
-FROM articles""",
+    "observed_clean_counts": CLEAN_COUNTS,
+    "removal_report": CLEAN_COUNTS,
     "clean_transactions": """
 SELECT CAST(o_orderdate AS DATE) AS t_dat, CAST(o_custkey AS VARCHAR) AS customer_id,
        lpad(CAST(l_partkey AS VARCHAR), 10, '0') AS article_id,

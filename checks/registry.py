@@ -27,7 +27,8 @@ def _q06(t): return customers.new_customers(t.sales)
 def _q07(t): return timeline.weekly_dynamics(t.sales)
 def _q07_iso(t): return timeline.weekly_dynamics(t.sales, iso_year=True)
 def _q08(t): return timeline.seasonal_spike(t.sales, t.articles)
-def _q09(t): return timeline.retention_gaps(t.orders)
+def _q09(t): return timeline.retention_gaps(t.sales)
+def _q09_orders(t): return timeline.retention_gaps(t.orders)
 def _q10(t): return timeline.peak_days(t.sales)
 def _q11(t): return timeline.rolling_activity(t.sales, t.customers)
 def _q12(t): return timeline.weekday_segments(t.sales, t.customers)
@@ -110,6 +111,17 @@ def _dedupe_input(t: Retail) -> DataFrame:
     return t.table("lineitem").select("l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
 
 
+def _observed_counts(t: Retail) -> DataFrame:
+    """Rows read and kept, counted while the kept ones are written."""
+    raw, read = quality.observed(t.articles, "articles_read")
+    complete = quality.require_columns(raw, ["department_name", "perceived_colour_value_name"])
+    kept_rows, kept = quality.observed(complete, "articles_kept")
+    writers.write_table(kept_rows, scratch_path(t.spark, "observed"), "articles")
+    before, after = read.get["rows"], kept.get["rows"]
+    return t.spark.createDataFrame([(before, after, before - after)],
+                                   "before_rows bigint, after_rows bigint, removed_rows bigint")
+
+
 def _clean_counts(t: Retail) -> DataFrame:
     complete = F.col("department_name").isNotNull() & F.col("perceived_colour_value_name").isNotNull()
     return quality.removal_report(t.articles, complete)
@@ -129,6 +141,7 @@ _QUERIES: dict[str, tuple[Query, dict[str, int]]] = {
     "q07_weekly_dynamics_iso_year": (_q07_iso, {"wow_change_pct": 6, "yoy_change_pct": 6}),
     "q08_seasonal_spike": (_q08, {"seasonal_delta_pct": 6, "seasonality_index": 6}),
     "q09_retention_gaps": (_q09, {}),
+    "q09_retention_gaps_by_order": (_q09_orders, {}),
     "q10_peak_days": (_q10, {"monthly_share": 6, "peak_intensity_ratio": 6, "z_score": 6}),
     "q11_rolling_activity": (_q11, {"rolling_avg_7d": 6, "rolling_std_7d": 6, "upper_band_2sigma": 6,
                                     "lower_band_2sigma": 6}),
@@ -152,6 +165,7 @@ _QUERIES: dict[str, tuple[Query, dict[str, int]]] = {
     "q29_keyword_check_by_channel": (_q29, {"avg_price": 6}),
     "q30_monthly_change_filtered": (_q30, {"growth_rate_pct": 6}),
     "v01_gap_buckets": (lambda t: charts.gap_buckets(_q09(t)), {"customers_share_pct": 6}),
+    "v01_gap_buckets_by_order": (lambda t: charts.gap_buckets(_q09_orders(t)), {"customers_share_pct": 6}),
     "v02_channel_shares": (lambda t: charts.channel_shares(_q13(t)), {"Store": 6, "Online": 6}),
     "v03_department_channel_matrix": (
         lambda t: charts.department_channel_matrix(_q05(t), CHANNELS), {}),
@@ -201,7 +215,8 @@ _QUERIES: dict[str, tuple[Query, dict[str, int]]] = {
                                          ["p_brand", "p_type", "not_there"]), {}),
     "date_features": (
         lambda t: quality.date_features(t.orders, "t_dat"), {}),
-    "observed_clean_counts": (_clean_counts, {}),
+    "observed_clean_counts": (_observed_counts, {}),
+    "removal_report": (_clean_counts, {}),
     "clean_transactions": (lambda t: cleaning.clean_transactions(t.raw_transactions), {}),
     "clean_articles": (lambda t: cleaning.clean_articles(t.raw_articles), {}),
     "clean_customers": (lambda t: cleaning.clean_customers(t.raw_customers), {}),

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SALES, day, rows
+from tillroll.operators import ranking
 from tillroll.operators.ranking import quantile_groups
 from tillroll.plans import charts, customers
 
@@ -44,7 +45,7 @@ def test_top_postal_codes_break_ties(members):
 @pytest.mark.parametrize("size", [0, 1, 3, 4, 9, 10, 11, 1003])
 def test_quantile_groups_equal_ntile(spark, size):
     frame = spark.range(size).select("id", (F.col("id") % 7).alias("value"))
-    grouped = quantile_groups(frame, [F.desc("value"), F.asc("id")], 4, "grp")
+    grouped = quantile_groups(frame, {"value": "desc", "id": "asc"}, 4, "grp")
     frame.createOrReplaceTempView("quantile_input")
     expected = spark.sql("SELECT id, value, ntile(4) OVER (ORDER BY value DESC, id) AS grp FROM quantile_input")
     assert sorted(rows(grouped)) == sorted(rows(expected))
@@ -53,12 +54,47 @@ def test_quantile_groups_equal_ntile(spark, size):
 
 def test_quantile_groups_split_one_hot_value(spark):
     frame = spark.range(5000).select("id", F.when(F.col("id") < 4000, 1).otherwise(F.col("id")).alias("value"))
-    grouped = quantile_groups(frame, [F.desc("value"), F.asc("id")], 4, "grp")
+    grouped = quantile_groups(frame, {"value": "desc", "id": "asc"}, 4, "grp")
     assert sorted(rows(grouped.groupBy("grp").count())) == [(1, 1250), (2, 1250), (3, 1250), (4, 1250)]
     assert grouped.filter("grp = 1").agg(F.min("id")).first()[0] == 0  # 1000 large ones, then ids 0..249
     assert grouped.filter("grp = 1 AND value = 1").agg(F.max("id")).first()[0] == 249
 
 
+@pytest.fixture
+def narrow_ranges(monkeypatch):
+    """Samples and ranges so small that a few thousand rows take several rounds."""
+    monkeypatch.setattr(ranking, "PIVOT_ROWS", 32)
+    monkeypatch.setattr(ranking, "RANGE_ROWS", 20)
+
+
+@pytest.mark.parametrize("size, groups", [(40, 4), (2000, 4), (5003, 7)])
+def test_cuts_found_in_several_rounds_equal_ntile(spark, narrow_ranges, size, groups):
+    value = F.when(F.col("id") % 3 == 0, 0.0).when(F.col("id") % 11 == 0, F.lit(None)).when(
+        F.col("id") % 13 == 0, F.lit(float("nan"))).otherwise(F.pmod(F.xxhash64("id"), F.lit(97)) / 7 - 3)
+    frame = spark.range(size).select(value.alias("value"), F.concat(F.lit("k"), "id").alias("id"))
+    for way, sql in (("desc", "DESC"), ("asc", "ASC")):
+        grouped = ranking.quantile_groups(frame, {"value": way, "id": "asc"}, groups, "grp")
+        frame.createOrReplaceTempView("quantile_input")
+        expected = spark.sql(f"SELECT *, ntile({groups}) OVER (ORDER BY value {sql}, id) AS grp FROM quantile_input")
+        assert sorted(map(repr, rows(grouped))) == sorted(map(repr, rows(expected)))
+
+
+def test_equal_rows_are_divided_between_groups(spark, narrow_ranges):
+    """A third of the rows are equal in every column; ntile may give any of them to a group, but not more or less."""
+    frame = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 10).alias("value"))
+    grouped = ranking.quantile_groups(frame, {"value": "asc"}, 9, "grp")
+    frame.createOrReplaceTempView("quantile_input")
+    expected = spark.sql("SELECT value, ntile(9) OVER (ORDER BY value) AS grp FROM quantile_input")
+    assert sorted(rows(grouped)) == sorted(rows(expected))
+
+
+def test_rows_at_finds_any_place(spark, narrow_ranges):
+    frame = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"))
+    assert [(c.row["v"], c.first, c.same) for c in ranking.rows_at(frame, {"v": "desc"}, [0, 500, 999, 5000])] == [
+        (999, 0, 1), (499, 500, 1), (0, 999, 1)]
+    assert ranking.rows_at(frame.limit(0), {"v": "asc"}, [0]) == []
+
+
 def test_spend_quantiles(spark, members, join_mode):
     bought = [(day("2020-01-01"), c, "a", p, 1)
               for c, p in [("c1", 5.0), ("c1", 5.0), ("c2", 7.0), ("c3", 1.0), ("c4", 99.0)]]

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from itertools import groupby
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 from tillroll.operators.durable import materialise
 
 # monotonically_increasing_id keeps the record number in its lower 33 bits.
 _RECORD_BITS = 33
 
+# Rows sampled to choose pivots, and the largest range of rows that is sorted to find one of them.
+PIVOT_ROWS = 4096
+RANGE_ROWS = 10_000
+
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """The first ``n`` rows in ``order`` (which must be total), optionally numbered.
@@ -47,56 +53,148 @@ def keep_top_keys(df: DataFrame, key: str, order: Sequence[Column], n: int, weig
     return df.join(F.broadcast(best), key)
 
 
-def global_position(df: DataFrame, order: Sequence[Column], position: str, size: str) -> DataFrame:
-    """Zero-based rank of each row in a total order, and the row count, without a one-task sort.
+class Cut(NamedTuple):
+    """A row of a table, by its values in the order columns: ``first`` rows come before it, ``same`` equal it."""
+
+    row: Row
+    first: int
+    same: int
+
+
+def _before(df: DataFrame, order: Mapping[str, str], row: Row) -> Column:
+    """Whether a row comes before ``row`` in ``order``; NULLs come first upwards and last downwards, as in Spark."""
+    found = F.lit(False)
+    for name, way in reversed(order.items()):
+        value, at = F.col(name), F.lit(row[name]).cast(df.schema[name].dataType)
+        if way == "asc":
+            earlier = F.lit(False) if row[name] is None else value.isNull() | F.coalesce(value < at, F.lit(False))
+        else:
+            earlier = value.isNotNull() if row[name] is None else F.coalesce(value > at, F.lit(False))
+        found = earlier | (value.eqNullSafe(at) & found)
+    return found
+
+
+def _equals(df: DataFrame, order: Mapping[str, str], row: Row) -> Column:
+    alike = [F.col(c).eqNullSafe(F.lit(row[c]).cast(df.schema[c].dataType)) for c in order]
+    return reduce(Column.__and__, alike)
+
+
+def _sort(order: Mapping[str, str]) -> list[Column]:
+    return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order.items()]
 
-    A range-partitioned sort numbers rows within each partition; the offsets of
-    the partitions (one row each, broadcast) make the numbers global. Range
-    boundaries come from sampling, so the sorted rows are materialised once and
-    both uses read that copy. A total order has no hot key: rows that tie on the
-    leading column still spread by the tie-break.
 
-    Sums of doubles depend on the order of addition, so a task repeated after a
-    lost executor could send a row to another range. Floating columns are
-    therefore fixed by a written copy before the sort.
+def _runs(rows: Sequence[Row], first: int) -> list[Cut]:
+    """Sorted rows as distinct ones with their places; ``first`` rows come before all of them."""
+    cuts = []
+    for _, alike in groupby(rows, key=repr):  # repr, since NaN is no value that Python finds equal
+        alike = list(alike)
+        cuts.append(Cut(alike[0], first, len(alike)))
+        first += len(alike)
+    return cuts
+
+
+def rows_at(df: DataFrame, order: Mapping[str, str], positions: Sequence[int]) -> list[Cut]:
+    """The rows at zero-based ``positions`` of ``df`` sorted by ``order`` (column -> ``asc`` or ``desc``), without a sort.
+
+    Exact selection: rows of a range of the order are sampled for pivots around the wanted place, one aggregation
+    counts the rows before and at each pivot, and the range between two pivots that holds the place goes on, about a
+    hundredth of the one before. A range of at most ``RANGE_ROWS`` rows is sorted. The sample decides how many
+    rounds it takes, never the result; a row that fills a range by itself is a pivot with its own count, so ties
+    never stop the narrowing. The driver sees ``PIVOT_ROWS`` rows or so, or ``RANGE_ROWS``, at a time.
+
+    ``df`` is read in every round and must give the same rows each time: pass a stored table.
+    """
+    sort, frame = _sort(order), df.select(*order)
+    size, found, seed = frame.count(), {}, 0
+    #: (row that the range follows, row that it ends before, rows before it, rows in it) -> wanted places
+    open_ranges = {(None, None, 0, size): sorted({p for p in positions if 0 <= p < size})}
+    while open_ranges:
+        (after, until, start, count), places = open_ranges.popitem()
+        if not places:
+            continue
+        inside = frame
+        if after is not None:
+            inside = inside.filter(~(_before(df, order, after) | _equals(df, order, after)))
+        if until is not None:
+            inside = inside.filter(_before(df, order, until))
+        if count <= RANGE_ROWS:
+            for cut in _runs(inside.orderBy(*sort).collect(), start):
+                found |= {p: cut for p in places if cut.first <= p < cut.first + cut.same}
+            continue
+        seed += 1
+        sample = inside.sample(min(1.0, PIVOT_ROWS / count), seed).orderBy(*sort).collect()
+        if not sample:
+            open_ranges[after, until, start, count] = places
+            continue
+        wanted = [(p - start) * len(sample) // count for p in places]
+        steps = [0, *(sign << k for k in range(len(sample).bit_length()) for sign in (1, -1))]
+        chosen = sorted({min(max(at + step, 0), len(sample) - 1) for at in wanted for step in steps})
+        pivots = [cut.row for cut in _runs([sample[i] for i in chosen], 0)]
+        counted = inside.agg(*[F.count_if(test(df, order, row)).alias(f"{name}{i}") for i, row in enumerate(pivots)
+                               for name, test in (("before", _before), ("same", _equals))]).first()
+        cuts = [Cut(row, start + counted[f"before{i}"], counted[f"same{i}"]) for i, row in enumerate(pivots)]
+        for place in places:
+            at = next((c for c in cuts if c.first <= place < c.first + c.same), None)
+            if at is not None:
+                found[place] = at
+                continue
+            below = [c for c in cuts if c.first + c.same <= place]
+            above = [c for c in cuts if c.first > place]
+            begin = below[-1].first + below[-1].same if below else start
+            end = above[0].first if above else start + count
+            part = (below[-1].row if below else after, above[0].row if above else until, begin, end - begin)
+            open_ranges.setdefault(part, []).append(place)
+    return [found[p] for p in positions if p in found]
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Numbers the rows of ``df`` from 0 in any order, without a sort.
+
+    Rows are numbered within their partition while they are written; the rows of each partition (one count each,
+    broadcast) make the numbers gapless.
     """
-    if any(isinstance(f.dataType, (FloatType, DoubleType)) for f in df.schema):
-        df = materialise(df, "unordered")
     mark = F.monotonically_increasing_id()
     placed = materialise(
-        df.orderBy(*order).select("*", mark.alias("_mark"))
-          .select(*df.columns,
-                  F.shiftright("_mark", _RECORD_BITS).alias("_part"),
+        df.withColumn("_mark", mark)
+          .select(*df.columns, F.shiftright("_mark", _RECORD_BITS).alias("_part"),
                   F.col("_mark").bitwiseAND(F.lit((1 << _RECORD_BITS) - 1)).alias("_record")),
-        "ordered",
+        "numbered",
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part",
-                F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-                F.sum("_rows").over(Window.partitionBy()).alias(size))
-    )
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(position, F.col("_before") + F.col("_record"))
-        .drop("_part", "_record", "_before")
-    )
+    offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    joined = placed.join(F.broadcast(offsets), "_part")
+    return joined.withColumn(name, F.col("_before") + F.col("_record")).drop("_part", "_record", "_before")
 
 
-def quantile_groups(df: DataFrame, order: Sequence[Column], n: int, group: str) -> DataFrame:
-    """``ntile(n)`` over a total order, for inputs of any size.
+def quantile_groups(df: DataFrame, order: Mapping[str, str], n: int, group: str) -> DataFrame:
+    """``ntile(n)`` over ``order`` (column -> ``asc`` or ``desc``), for inputs of any size.
 
-    With ``q, r = divmod(rows, n)`` the first ``r`` groups hold ``q + 1`` rows,
-    the others ``q``.
+    With ``q, r = divmod(rows, n)`` the first ``r`` groups hold ``q + 1`` rows, the others ``q``. Only the first rows
+    of the groups are looked for (``rows_at``); a row's group is the number of those at or before it, which is one
+    expression. Rows equal in all order columns may fall into two groups, in which any of them may be; only those
+    are numbered. The rows are written once, since sums of doubles could differ when they are made again.
     """
-    placed = global_position(df, order, "_position", "_size")
-    quotient = F.floor(F.col("_size") / n)
-    surplus = F.col("_size") - quotient * n
-    in_large = surplus * (quotient + 1)
-    number = F.when(
-        F.col("_position") < in_large, F.floor(F.col("_position") / (quotient + 1))
-    ).otherwise(
-        surplus + F.floor((F.col("_position") - in_large) / F.greatest(quotient, F.lit(1)))
-    )
-    return placed.withColumn(group, (number + 1).cast("int")).drop("_position", "_size")
+    df = materialise(df, "ordered")
+    quotient, surplus = divmod(df.count(), n)
+    starts = [s for s in (i * quotient + min(i, surplus) for i in range(1, n)) if s < quotient * n + surplus]
+    cuts = list(zip(starts, rows_at(df, order, starts)))
+    split = {repr(cut.row): cut for start, cut in cuts if start > cut.first}
+
+    def number(reached: Callable[[int, Cut], Column]) -> Column:
+        return reduce(Column.__add__, [reached(*c).cast("int") for c in cuts], F.lit(1)).cast("int").alias(group)
+
+    whole = df
+    for cut in split.values():
+        whole = whole.filter(~_equals(df, order, cut.row))
+    grouped = whole.select("*", number(lambda start, cut: ~_before(df, order, cut.row)))
+    for own in split.values():
+        tied = numbered(df.filter(_equals(df, order, own.row)), "_nth")
+
+        def reached(start: int, cut: Cut, own: Cut = own) -> Column:
+            if repr(cut.row) == repr(own.row):
+                return F.lit(own.first) + F.col("_nth") >= start
+            return F.lit(cut.first < own.first)
+
+        grouped = grouped.union(tied.select(*df.columns, number(reached)))
+    return grouped
