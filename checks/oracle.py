@@ -451,6 +451,11 @@ SELECT 'o_totalprice' AS "column", min(o_totalprice) AS minimum, quantile_disc(o
        quantile_disc(o_totalprice, 0.5) AS median, quantile_disc(o_totalprice, 0.75) AS q3,
        max(o_totalprice) AS maximum, round(avg(o_totalprice), 4) AS mean,
        round(stddev_samp(o_totalprice), 4) AS stddev
+FROM orders""",
+    "numeric_profile_sketch": """
+SELECT 'o_totalprice' AS "column", min(o_totalprice) AS minimum, max(o_totalprice) AS maximum,
+       round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS stddev,
+       true AS q1_within, true AS median_within, true AS q3_within
 FROM orders""",
     "code_distribution": f"""
 WITH {BINDING} SELECT sales_channel_id, count(*) AS n_rows FROM sales GROUP BY sales_channel_id""",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.binding import Retail
 from checks.registry import queries
 from tests.conftest import rows
+from tillroll.operators import lookups
 from tillroll.operators.lookups import (
     Lookup, fits_broadcast, measured_bytes, row_count, summarise, total,
 )
@@ -165,17 +166,62 @@ def test_skewed_answers_equal_brute_force(skewed, dimensions, join_mode):
 
 def test_hot_keys_reach_the_join_folded(spark, no_broadcast, skewed, dimensions):
     goods, people = dimensions
-    lookups = [Lookup(goods.select("article_id", "department_name"), "article_id"),
-               Lookup(people.select("customer_id"), "customer_id", "left_semi")]
-    result = summarise(skewed, ["department_name"], [row_count("n"), total("price", "v")], lookups)
-    plan = physical(result)
-    assert plan.count("partial_count(1)") == 1 and plan.count("SortMergeJoin") == 2
+    tables = [Lookup(goods.select("article_id", "department_name"), "article_id"),
+              Lookup(people.select("customer_id"), "customer_id", "left_semi")]
+    result = summarise(skewed, ["department_name"], [row_count("n"), total("price", "v")], tables)
+    result.collect()
+    plan = physical(result).split("== Initial Plan ==")[0]
+    assert plan.count("partial_count(1)") == 1 and plan.count("SortMergeJoin") == 2  # the sketch shares the exchange
     assert re.search(r"SortMergeJoin \[article_id#\d+, _salt", plan)  # one article, many customers
     joined = skewed.join(goods, "article_id").join(people, "customer_id", "left_semi")
     expected = joined.groupBy("department_name").agg(F.count(F.lit(1)), F.sum("price"))
     assert sorted(rows(result)) == sorted(rows(expected))
 
 
+def test_only_heavy_keys_of_a_dimension_are_repeated(spark, no_broadcast, skewed, monkeypatch):
+    """10,000 articles, one of them with a third of the folded rows: the copies are those of the heavy keys."""
+    goods = spark.range(10_000).select(F.concat(F.lit("a"), "id").alias("article_id"), (F.col("id") % 7).alias("kind"))
+    fact = skewed.select(F.when(F.pmod(F.xxhash64("customer_id"), F.lit(3)) == 0, "a0").otherwise(F.col("article_id"))
+                         .alias("article_id"), "customer_id")
+    folded = fact.groupBy("article_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    measures = [row_count("n")]
+    heavy = [r[0] for r in lookups._heavy_keys(folded, "article_id", measures).collect()]
+    assert "a0" in heavy and len(heavy) <= lookups.HEAVY_KEYS
+    copies = lookups._salted_join(folded, Lookup(goods, "article_id"), ["customer_id"], measures)
+    assert copies.count() == folded.join(goods, "article_id").count()
+    generated = re.findall(r"number of output rows: ([\d,]+)", _metrics(copies, "Generate"))
+    assert generated and all(int(n.replace(",", "")) <= 10_000 + lookups.HEAVY_KEYS * lookups.SALTS for n in generated)
+
+
+def _metrics(df, operator):
+    """The metrics of the nodes of one kind after ``df`` was run to its end."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    found, stack = [], [plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == operator:
+            found.append(f"number of output rows: {node.metrics().apply('numOutputRows').value()}")
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+    return "\n".join(found)
+
+
+def test_measuring_stops_at_the_limit(spark, tmp_path):
+    """A million rows in 40 files: a few thousand of them tell that it is too large."""
+    spark.range(0, 1_000_000, 1, 40).select(F.col("id"), F.repeat(F.lit("x"), 84).alias("t")).write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    fits, read = lookups.measure(big, 200_000)
+    assert not fits and read < 10_000  # 100 bytes a row: 2,000 rows make the limit
+    few = big.filter("id < 1000")
+    assert lookups.measure(few, 100_000) == (True, 1000)
+    assert not lookups.measure(few, 99_999).fits
+    assert lookups.measure(big.limit(0), 10) == (True, 0)
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 @pytest.mark.parametrize("name", [n for n in QUERIES if n[0] in "qv" and n not in EAGER and not n.startswith("q04")])
 def test_facts_are_scanned_once(spark, name, threshold):

@@ -7,6 +7,7 @@ from tests.conftest import day, rows
 from tillroll.operators import quality
 from tillroll.plans import cleaning
 from tillroll.sources import schemas
+from tillroll.sources.writers import plan_text
 
 
 def test_profile_counts_null_as_a_value(spark):
@@ -58,6 +59,23 @@ def test_describe_columns(spark):
         ("s", 2, None, None, "a", "b"), ("n", 2, 2.0, math.sqrt(2), "1", "3")]
 
 
+def test_exact_quartiles(spark):
+    frame = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"), F.lit(None).cast("double").alias("none"))
+    exact, none = quality.exact_numeric_profile(frame, ["x", "none"]).collect()
+    assert tuple(exact)[:5] == ("x", 0.0, 249.0, 499.0, 749.0) and exact["maximum"] == 999.0
+    assert tuple(none) == ("none",) + (None,) * 7
+    assert rows(quality.exact_numeric_profile(frame.limit(0), ["x"])) == [("x",) + (None,) * 7]
+
+
+def test_sketched_quartiles_are_within_their_error(spark):
+    frame = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(5000)).alias("x"))
+    profile = quality.numeric_profile(frame, ["x"])
+    (errors,) = quality.rank_errors(frame, profile, "x").collect()
+    assert errors["column"] == "x" and all(0 <= e <= 0.01 for e in errors[1:])
+    (exact,) = quality.rank_errors(frame, quality.exact_numeric_profile(frame, ["x"]), "x").collect()
+    assert tuple(exact) == ("x", 0.0, 0.0, 0.0)
+
+
 def test_code_reports(spark):
     frame = spark.createDataFrame([(2,), (1,), (2,)], "code int")
     assert rows(quality.code_distribution(frame, "code")) == [(1, 1), (2, 2)]
@@ -88,6 +106,42 @@ def test_dedupe_orders_columns_by_name(spark):
     assert rows(quality.dedupe_by_key(frame, "id")) == [("k", "2", "a")]
 
 
+def _brute_dedupe(data, key):
+    """The smallest row of each key by the texts of the other columns in name order, NULL before an empty text."""
+    others = sorted(c for c in data[0] if c != key) if data else []
+    best = {}
+    for row in data:
+        rank = ["" if row[c] is None else str(row[c]) for c in others], [(row[c] is not None, row[c] or 0) if not
+                isinstance(row[c], str) else (True, 0) for c in others]
+        if row[key] not in best or rank < best[row[key]][0]:
+            best[row[key]] = rank, tuple(row.values())
+    return sorted((r for _, r in best.values()), key=str)
+
+
+@pytest.mark.parametrize("repeated", [0, 7, 900])
+def test_only_repeated_keys_are_compared(spark, repeated):
+    data = [{"key": f"k{i}" if i else None, "s": None if i % 5 == 0 else f"t{i % 3}", "n": i} for i in range(1000)]
+    data += [{"key": f"k{i}" if i else None, "s": "" if i % 2 else None, "n": 10 * i} for i in range(repeated)]
+    frame = spark.createDataFrame([tuple(r.values()) for r in data], "key string, s string, n int")
+    result = quality.dedupe_by_key(frame, "key")
+    assert sorted(rows(result), key=str) == _brute_dedupe(data, "key")
+    plan = plan_text(result).split("== Physical Plan ==")[1]
+    if repeated == 0:
+        assert "Sort" not in plan and "Exchange" not in plan  # the table as it is
+    elif repeated == 7:
+        alone = plan[:plan.index("LeftSemi")]
+        assert "LeftAnti" in alone and "SortAggregate" in alone[alone.index("LeftAnti"):]
+        assert "Sort" not in alone[:alone.index("LeftAnti")] and plan.count("SortMergeJoin") == 0
+    else:
+        assert "LeftAnti" not in plan
+
+
+def test_repeated_keys_beyond_the_broadcast_limit_take_the_plain_way(spark, no_broadcast):
+    frame = spark.range(100).select((F.col("id") % 95).alias("key"), F.col("id").alias("n"))
+    result = quality.dedupe_by_key(frame, "key")
+    assert "LeftAnti" not in plan_text(result) and result.count() == 95
+
+
 def test_dedupe_of_one_hot_key(spark):
     frame = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"), "id")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -62,12 +62,12 @@ class Lookup(NamedTuple):
     how: str = "inner"
 
 
-# Measuring scans the dimension's columns in use once. A scan above the broadcast limit has to be this much
-# smaller than that of the fact table.
+# A scan above the broadcast limit has to be this much smaller than that of the fact table to be measured.
 MEASURING_RATIO = 10
 
-# Copies of a large dimension that meets rows still spread over the keys of further ones.
-SALTS = 32
+# Rows of a large dimension are repeated for so many salts, but only those of at most so many heavy keys, which
+# a sketch that follows so many keys names.
+SALTS, HEAVY_KEYS, TRACKED_KEYS = 32, 128, 1024
 
 
 def _estimate(df: DataFrame) -> int:
@@ -75,30 +75,65 @@ def _estimate(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all values: the length of text and binary columns, eight for any other. Runs one job."""
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row's values: the length of text and binary columns, eight more for each column."""
     sized = (StringType, BinaryType)
     text = [f.name for f in df.schema if isinstance(f.dataType, sized)]
     width = F.lit(8 * len(df.columns)) + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return width.cast("bigint")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values. Runs one job over all rows."""
+    return df.agg(F.sum(_width(df))).first()[0] or 0
+
+
+class Measured(NamedTuple):
+    """Whether a frame is within a limit, and the rows that were read to know."""
+
+    fits: bool
+    rows_read: int
+
+
+def measure(df: DataFrame, limit: int) -> Measured:
+    """Whether the values of ``df`` take at most ``limit`` bytes, reading little more than ``limit`` bytes of rows.
+
+    A row counts as one unit for each smallest row that its bytes would hold. The units are taken partition by
+    partition (Spark starts with one and goes on with more), so a large frame is given up after its first ones.
+    Nothing but empty rows comes to the driver. Below the limit every row was read and the bytes are exact.
+    """
+    unit = 8 * max(len(df.columns), 1)
+    most = limit // unit + 1
+    watch = Observation()
+    counted = df.select(_width(df).alias("_width")).observe(
+        watch, F.sum("_width").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    units = counted.select(F.explode(F.array_repeat(F.lit(True), F.floor(F.col("_width") / unit).cast("int"))))
+    taken = units.select().limit(most)._jdf.collectAsList().size()
+    seen = watch.get
+    return Measured(taken < most and (seen["bytes"] or 0) <= limit, seen["rows"])
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes; 0 if nothing may be broadcast."""
+    try:
+        return max(int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()), 0)
+    except AttributeError:  # a Connect session shows no such thing: take the plans that need none
+        return 0
 
 
 def fits_broadcast(df: DataFrame, fact: DataFrame) -> bool:
     """Whether ``df``, measured, is small enough to be broadcast to the tasks that read ``fact``.
 
-    The limit is the session's ``spark.sql.autoBroadcastJoinThreshold``. Spark's estimate is taken from compressed
-    files and knows nothing of what a filter keeps, so it never decides for a broadcast. It only tells whether
-    measuring is cheap: the scan is within the limit, or small beside that of ``fact``.
+    Spark's estimate is taken from compressed files and knows nothing of what a filter keeps, so it never decides
+    for a broadcast. It only tells whether measuring is cheap: a selective filter has to be run over the whole scan
+    to know what it keeps, which must be within the limit or small beside the scan of ``fact``.
     """
-    try:
-        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-        if limit <= 0:
-            return False
-        size = _estimate(df)
-        cheap = size <= limit or size * MEASURING_RATIO <= _estimate(fact)
-    except AttributeError:  # a Connect session shows no estimate: take the plan that needs none
+    limit = broadcast_limit(df)
+    if not limit:
         return False
-    return cheap and measured_bytes(df) <= limit
+    size = _estimate(df)
+    cheap = size <= limit or size * MEASURING_RATIO <= _estimate(fact)
+    return cheap and measure(df, limit).fits
 
 
 def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
@@ -115,11 +150,14 @@ def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
 
     own = [c for c in by if c in wide.columns]
     keys = dict.fromkeys([*(lookup.key for lookup in deferred), *own])
+    # Rows without a key meet no dimension. Said here, every branch over the folded rows has the same filters.
+    for lookup in deferred:
+        wide = wide.filter(F.col(lookup.key).isNotNull())
     folded = wide.groupBy(*keys).agg(*[m.over_rows.alias(m.name) for m in measures])
     *earlier, last = deferred
     for position, lookup in enumerate(earlier):
         later_keys = [later.key for later in deferred[position + 1:]]
-        folded = _salted_join(folded, lookup, later_keys)
+        folded = _salted_join(folded, lookup, later_keys, measures)
         folded = merge(folded, [c for c in folded.columns if c in {*by, *later_keys}], measures)
     return merge(folded.join(last.frame, last.key, last.how), by, measures)
 
@@ -129,14 +167,28 @@ def merge(folded: DataFrame, by: Sequence[str | Column], measures: Sequence[Meas
     return folded.groupBy(*by).agg(*[m.over_partials(m.name).alias(m.name) for m in measures])
 
 
-def _salted_join(fact: DataFrame, lookup: Lookup, spread: Sequence[str]) -> DataFrame:
-    """Join rows of one key in ``SALTS`` places, by their values in ``spread``.
+def _heavy_keys(folded: DataFrame, key: str, measures: Sequence[Measure]) -> DataFrame:
+    """At most ``HEAVY_KEYS`` values of ``key``, among them each that holds a large share of the rows.
+
+    They come from a mergeable sketch of fixed size. It decides which rows are spread, never the result. The sketch
+    reads the measures as well, only so that it asks for the same columns as the join and both share one exchange.
+    """
+    value = F.when(F.hash(*[m.name for m in measures]) != 0, F.col(key))
+    top = folded.agg(F.call_function("approx_top_k", value, F.lit(HEAVY_KEYS), F.lit(TRACKED_KEYS)).alias("top"))
+    items = top.select(F.explode("top").alias("top")).select(F.col("top.item").alias(key))
+    return items.filter(F.col(key).isNotNull()).select(key, F.lit(SALTS - 1).alias("_last_salt"))
+
+
+def _salted_join(fact: DataFrame, lookup: Lookup, spread: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Join the rows of a heavy key in ``SALTS`` places, by their values in ``spread``; all others as usual.
 
-    Rows folded by several keys may still be many for a hot one of them. Each
-    dimension row is repeated once per salt and each fact row has one salt, so
-    every pair meets exactly once.
+    Rows folded by several keys may still be many for a hot one of them. A dimension row of a heavy key is repeated
+    once per salt, any other is not, and each fact row has one salt, so every pair meets exactly once.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int").alias("_salt")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    joined = fact.select("*", salt).join(lookup.frame.select("*", salts), [lookup.key, "_salt"], lookup.how)
-    return joined.drop("_salt")
+    heavy = F.broadcast(_heavy_keys(fact, lookup.key, measures))  # bounded by HEAVY_KEYS
+    last = F.coalesce("_last_salt", F.lit(0))
+    salt = F.pmod(F.xxhash64(*spread), last + 1).cast("int").alias("_salt")
+    salts = F.explode(F.sequence(F.lit(0), last)).alias("_salt")
+    salted = fact.join(heavy, lookup.key, "left").select(*fact.columns, salt)
+    copies = lookup.frame.join(heavy, lookup.key, "left").select(*lookup.frame.columns, salts)
+    return salted.join(copies, [lookup.key, "_salt"], lookup.how).drop("_salt")

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType, StructType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType, StructType
 
 from tillroll.functions import metrics
 from tillroll.functions.predicates import is_missing
+from tillroll.operators.durable import materialise
+from tillroll.operators.lookups import broadcast_limit, measure
+from tillroll.operators.ranking import rows_at
 
 # Verdicts of the column profile.
 KEEP, KEEP_CORE, DROP = "keep", "keep (core)", "drop (constant)"
 
+# Share of rows under repeated keys up to which only they are compared; beyond it two reads would not pay.
+CONTESTED_SHARE = 0.25
+
 
 def _floats(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema if isinstance(f.dataType, (FloatType, DoubleType))}
@@ -67,23 +74,66 @@ def describe_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return _per_column(df, list(columns or df.columns), {}, facts)
 
 
+# Names and shares of the quartiles.
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str], relative_error: float = 0.01) -> DataFrame:
     """Quartiles within a relative rank error, exact extremes, mean and sample deviation.
 
-    An empty input gives NULLs.
+    One pass; a column's summary holds some multiple of ``1 / relative_error`` values, however many rows there are.
+    For quartiles without an error take ``exact_numeric_profile``, not a tiny error. An empty input gives NULLs.
     """
     accuracy = round(1 / relative_error)
 
     def facts(c: str) -> dict[str, Column]:
         value = F.col(c).cast("double")
-        quartile = {name: F.percentile_approx(value, p, accuracy)
-                    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
+        quartile = {name: F.percentile_approx(value, p, accuracy) for name, p in QUARTILES.items()}
         return {"minimum": F.min(value), **quartile, "maximum": F.max(value),
                 "mean": F.avg(value), "stddev": F.stddev_samp(value)}
 
     return _per_column(df, columns, {}, facts)
 
 
+def exact_numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``numeric_profile`` with exact quartiles: the smallest value with at least that share of the values up to it.
+
+    The columns are written once and the quartiles selected by ``ranking.rows_at``: some counting passes over one
+    column each and no summary that grows. Looks for the quartiles when called. An empty input gives NULLs.
+    """
+    stored = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "profile")
+    rows = stored.agg(*[F.count(c).alias(c) for c in columns]).first()
+    found = {}
+    for c in columns:
+        places = [max(math.ceil(p * rows[c]) - 1, 0) for p in QUARTILES.values()]
+        cuts = rows_at(stored.select(c).filter(F.col(c).isNotNull()), {c: "asc"}, places) if rows[c] else []
+        found[c] = dict(zip(QUARTILES, [cut.row[c] for cut in cuts] or [None] * 3))
+
+    def facts(c: str) -> dict[str, Column]:
+        # max() makes an aggregate of the constant and gives NULL for an empty input
+        quartile = {name: F.max(F.lit(found[c][name]).cast("double")) for name in QUARTILES}
+        return {"minimum": F.min(c), **quartile, "maximum": F.max(c), "mean": F.avg(c), "stddev": F.stddev_samp(c)}
+
+    return _per_column(stored, columns, {}, facts)
+
+
+def rank_errors(df: DataFrame, profile: DataFrame, column: str) -> DataFrame:
+    """How far the quartiles of ``profile`` are off, as a share of the rows with a value: 0 where exact. One row.
+
+    A value takes all ranks of the rows that equal it; the error is the distance of the wanted share to those. The
+    profile's row is read when called.
+    """
+    quartiles = profile.filter(F.col("column") == column).first()
+    value = F.col(column).cast("double")
+
+    def share(test: Column) -> Column:
+        return F.try_divide(F.count_if(test), F.count(value))
+
+    errors = [F.greatest(share(value < quartiles[name]) - p, p - share(value <= quartiles[name]), F.lit(0.0))
+              .alias(f"{name}_error") for name, p in QUARTILES.items()]
+    return df.agg(F.lit(column).alias("column"), *errors)
+
+
 def code_distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows per code, ordered by code."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(column)
@@ -162,19 +212,48 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _smallest_rows(df: DataFrame, key: str, others: Sequence[str]) -> DataFrame:
+    """One row per key by a minimum over structs, folded within the task before the shuffle.
+
+    A text column travels once: its text orders the rows, and a flag tells NULL from an empty text.
+    """
+    texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    as_text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{i}") for i, c in enumerate(others)]
+    values = [(F.col(c).isNotNull() if c in texts else F.col(c)).alias(f"_{i}") for i, c in enumerate(others)]
+    best = df.groupBy(key).agg(F.min(F.struct(F.struct(*as_text).alias("text"), F.struct(*values).alias("value")))
+                               .alias("best"))
+
+    def back(c: str) -> Column:
+        text, value = (F.col(f"best.{part}._{others.index(c)}") for part in ("text", "value"))
+        return F.when(value, text).alias(c) if c in texts else value.alias(c)
+
+    return best.select(*[F.col(key) if c == key else back(c) for c in df.columns])
+
+
 def dedupe_by_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key: the smallest by all other columns as text, taken in name order.
 
-    NULL compares as empty text, numbers compare as text. A minimum over structs
-    is folded within the task, so the copies of a hot key are never brought together.
+    NULL compares as empty text (and goes before one), numbers compare as text. The rows of each key are counted
+    first, which shuffles hashed keys only. Where few rows share their key, only those are compared; all others pass
+    as they are, without a sort or a shuffle, and so does the whole table if no key is repeated. The repeated keys
+    are broadcast, which ``measure`` has to allow. Otherwise the minimum is taken over all rows; it is folded within
+    the task, so the copies of a hot key are never brought together.
     """
     others = sorted(c for c in df.columns if c != key)
     if not others:
         return df.dropDuplicates([key])
-    as_text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{i}") for i, c in enumerate(others)]
-    kept = F.struct(F.struct(*as_text).alias("order"), F.struct(*others).alias("row"))
-    best = df.groupBy(key).agg(F.min(kept).alias("best"))
-    return best.select(*[F.col(key) if c == key else F.col(f"best.row.{c}").alias(c) for c in df.columns])
+    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = F.col("_rows") > 1
+    rows, shared = keys.agg(F.sum("_rows"), F.sum(F.when(repeated, F.col("_rows")))).first()
+    if not shared:
+        return df
+    listed = keys.filter(repeated).select(F.col(key).alias("_key"))
+    if shared > rows * CONTESTED_SHARE or not measure(listed, broadcast_limit(df)).fits:
+        return _smallest_rows(df, key, others)
+    listed = F.broadcast(materialise(listed, "repeated-keys"))
+    alone = df.join(listed, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    contested = df.join(listed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    return alone.unionByName(_smallest_rows(contested, key, others))
 
 
 def removal_report(before: DataFrame, keep: Column) -> DataFrame:
