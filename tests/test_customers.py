@@ -64,6 +64,7 @@ def test_quantile_groups_split_one_hot_value(spark):
 def narrow_ranges(monkeypatch):
     """Samples and ranges so small that a few thousand rows take several rounds."""
     monkeypatch.setattr(ranking, "PIVOT_ROWS", 32)
+    monkeypatch.setattr(ranking, "PIVOT_STEPS", (0, 1, 2, 8))
     monkeypatch.setattr(ranking, "RANGE_ROWS", 20)
 
 

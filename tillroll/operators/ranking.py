@@ -15,9 +15,10 @@ from tillroll.operators.durable import materialise
 # monotonically_increasing_id keeps the record number in its lower 33 bits.
 _RECORD_BITS = 33
 
-# Rows sampled to choose pivots, and the largest range of rows that is sorted to find one of them.
-PIVOT_ROWS = 4096
-RANGE_ROWS = 10_000
+# Rows sampled to choose pivots, how far from the wanted place they are taken, and the largest range of rows that one
+# task sorts to find the place.
+PIVOT_ROWS, PIVOT_STEPS = 4096, (0, 8, 32, 128)
+RANGE_ROWS = 250_000
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
@@ -83,14 +84,8 @@ def _sort(order: Mapping[str, str]) -> list[Column]:
     return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order.items()]
 
 
-def _runs(rows: Sequence[Row], first: int) -> list[Cut]:
-    """Sorted rows as distinct ones with their places; ``first`` rows come before all of them."""
-    cuts = []
-    for _, alike in groupby(rows, key=repr):  # repr, since NaN is no value that Python finds equal
-        alike = list(alike)
-        cuts.append(Cut(alike[0], first, len(alike)))
-        first += len(alike)
-    return cuts
+def _values(cut: Cut, order: Mapping[str, str]) -> str:
+    return repr([cut.row[c] for c in order])
 
 
 def rows_at(df: DataFrame, order: Mapping[str, str], positions: Sequence[int]) -> list[Cut]:
@@ -98,9 +93,9 @@ def rows_at(df: DataFrame, order: Mapping[str, str], positions: Sequence[int]) -
 
     Exact selection: rows of a range of the order are sampled for pivots around the wanted place, one aggregation
     counts the rows before and at each pivot, and the range between two pivots that holds the place goes on, about a
-    hundredth of the one before. A range of at most ``RANGE_ROWS`` rows is sorted. The sample decides how many
-    rounds it takes, never the result; a row that fills a range by itself is a pivot with its own count, so ties
-    never stop the narrowing. The driver sees ``PIVOT_ROWS`` rows or so, or ``RANGE_ROWS``, at a time.
+    fiftieth of the one before. A range of at most ``RANGE_ROWS`` rows is sorted by one task. The sample decides how
+    many rounds it takes, never the result; a row that fills a range by itself is a pivot with its own count, so ties
+    never stop the narrowing. The driver sees ``PIVOT_ROWS`` rows or so at a time.
 
     ``df`` is read in every round and must give the same rows each time: pass a stored table.
     """
@@ -118,8 +113,12 @@ def rows_at(df: DataFrame, order: Mapping[str, str], positions: Sequence[int]) -
         if until is not None:
             inside = inside.filter(_before(df, order, until))
         if count <= RANGE_ROWS:
-            for cut in _runs(inside.orderBy(*sort).collect(), start):
-                found |= {p: cut for p in places if cut.first <= p < cut.first + cut.same}
+            line = Window.orderBy(*sort)
+            placed = inside.select("*", (F.row_number().over(line) - 1).alias("_place"),
+                                   (F.rank().over(line) - 1).alias("_first"),
+                                   F.count(F.lit(1)).over(line.rangeBetween(0, 0)).alias("_same"))
+            for row in placed.filter(F.col("_place").isin([p - start for p in places])).collect():
+                found[start + row["_place"]] = Cut(row, start + row["_first"], row["_same"])
             continue
         seed += 1
         sample = inside.sample(min(1.0, PIVOT_ROWS / count), seed).orderBy(*sort).collect()
@@ -127,9 +126,9 @@ def rows_at(df: DataFrame, order: Mapping[str, str], positions: Sequence[int]) -
             open_ranges[after, until, start, count] = places
             continue
         wanted = [(p - start) * len(sample) // count for p in places]
-        steps = [0, *(sign << k for k in range(len(sample).bit_length()) for sign in (1, -1))]
-        chosen = sorted({min(max(at + step, 0), len(sample) - 1) for at in wanted for step in steps})
-        pivots = [cut.row for cut in _runs([sample[i] for i in chosen], 0)]
+        chosen = sorted({min(max(at + side * step, 0), len(sample) - 1) for at in wanted for step in PIVOT_STEPS
+                         for side in (1, -1)})
+        pivots = [next(alike) for _, alike in groupby((sample[i] for i in chosen), key=repr)]  # NaN equals itself there
         counted = inside.agg(*[F.count_if(test(df, order, row)).alias(f"{name}{i}") for i, row in enumerate(pivots)
                                for name, test in (("before", _before), ("same", _equals))]).first()
         cuts = [Cut(row, start + counted[f"before{i}"], counted[f"same{i}"]) for i, row in enumerate(pivots)]
@@ -179,7 +178,7 @@ def quantile_groups(df: DataFrame, order: Mapping[str, str], n: int, group: str)
     quotient, surplus = divmod(df.count(), n)
     starts = [s for s in (i * quotient + min(i, surplus) for i in range(1, n)) if s < quotient * n + surplus]
     cuts = list(zip(starts, rows_at(df, order, starts)))
-    split = {repr(cut.row): cut for start, cut in cuts if start > cut.first}
+    split = {_values(cut, order): cut for start, cut in cuts if start > cut.first}
 
     def number(reached: Callable[[int, Cut], Column]) -> Column:
         return reduce(Column.__add__, [reached(*c).cast("int") for c in cuts], F.lit(1)).cast("int").alias(group)
@@ -192,7 +191,7 @@ def quantile_groups(df: DataFrame, order: Mapping[str, str], n: int, group: str)
         tied = numbered(df.filter(_equals(df, order, own.row)), "_nth")
 
         def reached(start: int, cut: Cut, own: Cut = own) -> Column:
-            if repr(cut.row) == repr(own.row):
+            if _values(cut, order) == _values(own, order):
                 return F.lit(own.first) + F.col("_nth") >= start
             return F.lit(cut.first < own.first)
 
