@@ -39,7 +39,7 @@ def docs(spark):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = registry.queries()[name](spark, SF)
     wanted = duck.sql(registry.oracle_sql()[name])

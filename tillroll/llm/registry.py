@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from tillroll.llm import (
     byte_bpe,
+    collocations,
     decontaminate,
     language,
     line_dedup,
+    negatives,
+    packing,
     repetition,
     sharding,
     simhash,
@@ -28,6 +31,9 @@ def queries() -> dict:
         byte_bpe.op8_byte_bpe,
         line_dedup.op9_line_dedup,
         sharding.op10_kd_sharding,
+        packing.op11_best_fit_packing,
+        collocations.op12_phrase_collocations,
+        negatives.op13_hard_negatives,
     )}
 
 
@@ -36,4 +42,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_suffix_repetition": repetition.OP1_SQL,
         "op2_warc": warc.OP2_SQL,
         "op9_line_dedup": line_dedup.OP9_SQL,
+        "op12_phrase_collocations": collocations.OP12_SQL,
+        "op13_hard_negatives": negatives.OP13_SQL,
     }
