@@ -395,10 +395,10 @@ def op13_hard_negatives(spark, sf_dir: str) -> DataFrame:
 OP13_SQL = """
 WITH v AS (
   SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS x
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), scored AS (
   SELECT a.id AS anchor, a.label AS own, b.id, b.label, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
   FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id
