@@ -8,7 +8,8 @@ precede it; each step gives the intervals and so the counts of the longer phrase
 Counts of a shard say nothing about the corpus, so phrases are lengthened one word at a time and summed across shards
 in between: a phrase goes on only if the corpus has it ``least`` times. A longer phrase is asked for only if its first
 and its last words, without the other end, are such phrases, which both directions of the index tell: it is named by
-those two, so the keys that cross the shuffle are two numbers whatever the phrase's length.
+those two, so the keys that cross the shuffle are two numbers whatever the phrase's length. They cross it in blocks, one
+for each shard and part of the keys.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import keep, ragged, slices, starts
 
 #: Words of a shard (a text without any separator may make a longer one), and bits of a shard's number in its task.
-SHARD_WORDS, SHARD_BITS = 1 << 20, 10
+SHARD_WORDS, SHARD_BITS = 3 << 19, 10
 #: Words of a phrase. The transforms sort by one word less, which is the longest phrase that is lengthened.
 LONGEST = 5
+#: Words of the corpus for each part that phrases are summed in; its phrases are fewer.
+PART_ROWS = 1 << 20
 SEPARATORS = r"[.,;:!?\n\x0b\x0c\r]+"
 
 
@@ -139,24 +142,54 @@ def both_ways(forward: np.ndarray, backward: np.ndarray, first: np.ndarray, back
     return owner[a], suffix[b], new_first[a], new_back[a], number[a]
 
 
-_FOUND = "shard long, lang string, prefix long, suffix long, n long, first long, back long, sequence binary"
+#: What is known of phrases in a shard, and of those that the corpus has often.
+_FOUND = ["prefix", "suffix", "n", "first", "back"]
+_OFTEN = [*_FOUND, "gid", "total"]
 
 
-def _found_table(shard: int, lang: str, gids: np.ndarray, found: tuple[np.ndarray, ...], sequence: bytes | None = None) -> pa.Table:
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of integers, byte by byte and compressed: keys and rows of a shard differ in few of their eight bytes."""
+    stacked = np.stack(columns).astype("<i8")
+    planes = stacked.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return stacked.shape[1].to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(data: bytes, columns: int) -> np.ndarray:
+    rows = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], 8 * rows * columns, "zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint8).reshape(columns, 8, rows).transpose(0, 2, 1).copy().view("<i8")[:, :, 0]
+
+
+def _blocks(parts: int, shard: int, lang: str, gids: np.ndarray, found: tuple[np.ndarray, ...]) -> dict[str, list]:
+    """Phrases of a shard, one block for each of ``parts`` that its keys fall to."""
     prefix, suffix, first, back, size = found
-    extra = 0 if sequence is None else 1
-    number = [np.append(x, np.zeros(extra, np.int64)) for x in (gids[prefix], gids[suffix], size, first, back)]
-    rows = len(number[0])
-    return pa.table([pa.array(np.full(rows, shard)), pa.array([lang] * rows, pa.string()),
-                     *(pa.array(x.astype(np.int64)) for x in number),
-                     pa.array([None] * (rows - extra) + [sequence] * extra, pa.binary())],
-                    names=[c.split()[0] for c in _FOUND.split(", ")])
-
-
-def _start(key, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Of a shard and its words that the corpus has often: the index, and the phrases of two such words."""
-    shard, none = key[0].as_py(), np.zeros(0, np.int64)
-    lang = left.column("lang")[0].as_py()
+    table = np.stack([gids[prefix], gids[suffix], size, first, back]).astype(np.int64)
+    mixed = table[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + table[1].astype(np.uint64)
+    part = ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(20)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    part, table = part[order], table[:, order]
+    ends = np.append(np.nonzero(part[1:] != part[:-1])[0] + 1, len(part)) if len(part) else []
+    out = {"part": [], "shard": [], "lang": [], "data": []}
+    begin = 0
+    for end in ends:
+        out["part"].append(int(part[begin]))
+        out["shard"].append(shard)
+        out["lang"].append(lang)
+        out["data"].append(_pack(list(table[:, begin:end])))
+        begin = end
+    return out
+
+
+_BLOCKS = "part long, shard long, lang string, data binary"
+
+
+def _block_table(blocks: dict[str, list]) -> pa.Table:
+    types = {"part": pa.int64(), "shard": pa.int64(), "lang": pa.string(), "data": pa.binary()}
+    return pa.table([pa.array(blocks.get(c, []), kind) for c, kind in types.items()], names=list(types))
+
+
+def _index(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    """The index of a shard over the words that the corpus has often, and the gids of those."""
     order = np.argsort(right.column("code").to_numpy())
     codes, gids = right.column("code").to_numpy()[order], right.column("gid").to_numpy()[order]
     text = np.frombuffer(left.column("codes")[0].as_py(), "<i4")
@@ -164,44 +197,106 @@ def _start(key, left: pa.Table, right: pa.Table) -> pa.Table:
     symbol[codes] = np.arange(1, len(codes) + 1)
     text = np.concatenate([[0], symbol[text], [0]])
     # rare words end phrases as separators do; a word between two of those is in no phrase
-    alone = (np.roll(text, 1) == 0) & (np.roll(text, -1) == 0)
-    text = np.where(alone, 0, text)
+    text = np.where((np.roll(text, 1) == 0) & (np.roll(text, -1) == 0), 0, text)
     text = text[(text > 0) | (np.roll(text, 1) > 0)]
+    names = ["shard", "lang", "sequence", "gids"]
     if not len(text):
-        return _found_table(shard, lang, gids, (none,) * 5)
+        return pa.table([pa.array([], x) for x in (pa.int64(), pa.string(), pa.binary(), pa.binary())], names=names)
     small = text.astype("<u2" if len(codes) < 1 << 16 else "<u4")
-    forward, backward = transform(small), transform(small[::-1])
-    size = np.bincount(text, minlength=len(codes) + 1).astype(np.int64)
-    first = starts(size)[1:-1]
-    found = both_ways(forward, backward, first, first, size[1:])
-    width = bytes([small.itemsize]) + len(small).to_bytes(8, "little")
-    packed = pa.compress(forward.tobytes() + backward.tobytes(), "zstd", asbytes=True)
-    return _found_table(shard, lang, gids, found, width + packed)
-
-
-def _go_on(key, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Of a shard's index and its phrases that the corpus has often: the phrases one word longer."""
-    shard, none = key[0].as_py(), np.zeros(0, np.int64)
-    if not left.num_rows or not right.num_rows:
-        return _found_table(shard, "", none, (none,) * 5)
-    data = left.column("sequence")[0].as_py()
+    both = transform(small).tobytes() + transform(small[::-1]).tobytes()
+    head = bytes([small.itemsize]) + len(small).to_bytes(8, "little")
+    return pa.table([pa.array([key[0].as_py()]), pa.array([left.column("lang")[0].as_py()], pa.string()),
+                     pa.array([head + pa.compress(both, "zstd", asbytes=True)], pa.binary()),
+                     pa.array([_pack([gids])], pa.binary())], names=names)
+
+
+def _transforms(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     width, length = data[0], int.from_bytes(data[1:9], "little")
-    raw = pa.decompress(data[9:], 2 * width * length, "zstd", asbytes=True)
-    both = np.frombuffer(raw, f"<u{width}")
-    first, back, size, gids = (right.column(c).to_numpy() for c in ("first", "back", "n", "gid"))
-    found = both_ways(both[:length], both[length:], first, back, size)
-    return _found_table(shard, left.column("lang")[0].as_py(), gids, found)
+    both = np.frombuffer(pa.decompress(data[9:], 2 * width * length, "zstd", asbytes=True), f"<u{width}")
+    return both[:length], both[length:]
 
 
-def _often(found: DataFrame, key: list[str], place: str, least: int) -> DataFrame:
-    """Rows of keys that the corpus has ``least`` times, with ``total`` and ``gid``, a number for the key.
+def _pairs(index: DataFrame, parts: int) -> DataFrame:
+    """Blocks of the phrases of two words of each shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, lang, sequence, gids in zip(*(batch.column(c) for c in ("shard", "lang", "sequence", "gids"))):
+                forward, backward = _transforms(sequence.as_py())
+                names = _unpack(gids.as_py(), 1)[0]
+                size = np.bincount(forward, minlength=len(names) + 1).astype(np.int64)
+                first = starts(size)[1:-1]
+                found = both_ways(forward, backward, first, first, size[1:])
+                yield from _block_table(_blocks(parts, shard.as_py(), lang.as_py(), names, found)).to_batches()
+
+    return index.mapInArrow(run, _BLOCKS)
+
+
+def _longer(index: DataFrame, often: DataFrame, parts: int) -> DataFrame:
+    """Blocks of the phrases one word longer than those in ``often``."""
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _block_table({})
+        forward, backward = _transforms(left.column("sequence")[0].as_py())
+        known = np.hstack([_unpack(x, len(_OFTEN)) for x in right.column("data").to_pylist()])
+        n, first, back, gid = (known[_OFTEN.index(c)] for c in ("n", "first", "back", "gid"))
+        found = both_ways(forward, backward, first, back, n)
+        return _block_table(_blocks(parts, key[0].as_py(), left.column("lang")[0].as_py(), gid, found))
+
+    return index.select("shard", "lang", "sequence").groupBy("shard").cogroup(
+        often.select("shard", "data").groupBy("shard")).applyInArrow(run, _BLOCKS)
+
+
+def _place(shard: np.ndarray | int, at: np.ndarray) -> np.ndarray:
+    return shard << 31 | at
 
-    A key has one row in a shard at most, so the commonest one has as many rows as there are shards.
+
+def _summed(blocks: DataFrame, least: int) -> DataFrame:
+    """Blocks of the phrases that all shards together have ``least`` times, with that ``total`` and the phrase's ``gid``.
+
+    All blocks of one part are summed in one group, about ``PART_ROWS`` phrases whatever the corpus. A phrase has
+    one row in a shard at most, so the commonest one has as many rows as there are shards.
     """
-    same = Window.partitionBy(*key)
-    own = F.shiftleft(F.col("shard"), 31).bitwiseOR(F.col(place).cast("long"))
-    summed = found.withColumns({"total": F.sum("n").over(same), "own": own, "gid": F.min(own).over(same)})
-    return summed.where(F.col("total") >= least)
+    def run(key, table: pa.Table) -> pa.Table:
+        shards, langs = table.column("shard").to_numpy(), table.column("lang").to_pylist()
+        data = [_unpack(x, len(_FOUND)) for x in table.column("data").to_pylist()]
+        row = np.repeat(np.arange(len(data)), [x.shape[1] for x in data])
+        found = np.hstack(data)
+        order = np.lexsort((found[1], found[0]))
+        found, row = found[:, order], row[order]
+        begin = np.nonzero(np.append(True, (found[0, 1:] != found[0, :-1]) | (found[1, 1:] != found[1, :-1])))[0]
+        total = np.add.reduceat(found[2], begin)
+        gid = np.minimum.reduceat(_place(shards[row], found[3]), begin)
+        size = np.diff(np.append(begin, len(row)))
+        total, gid = np.repeat(total, size), np.repeat(gid, size)
+        often = np.nonzero(total >= least)[0]
+        often = often[np.argsort(row[often], kind="stable")]
+        whole, row = np.vstack([found, gid, total])[:, often], row[often]
+        out = {"part": [], "shard": [], "lang": [], "data": []}
+        for i in np.unique(row):
+            a, b = np.searchsorted(row, [i, i + 1])
+            out["part"].append(key[0].as_py())
+            out["shard"].append(int(shards[i]))
+            out["lang"].append(langs[i])
+            out["data"].append(_pack(list(whole[:, a:b])))
+        return _block_table(out)
+
+    return blocks.groupBy("part").applyInArrow(run, _BLOCKS)
+
+
+def _named(often: DataFrame) -> DataFrame:
+    """One row for each phrase in ``often``."""
+    schema = "lang string, gid long, prefix long, suffix long, a long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, lang, data in zip(*(batch.column(c) for c in ("shard", "lang", "data"))):
+                known = dict(zip(_OFTEN, _unpack(data.as_py(), len(_OFTEN))))
+                own = _place(shard.as_py(), known["first"]) == known["gid"]
+                columns = [pa.array([lang.as_py()] * int(own.sum()), pa.string()),
+                           *(pa.array(known[c][own]) for c in ("gid", "prefix", "suffix", "total"))]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "gid", "prefix", "suffix", "a"])
+
+    return often.mapInArrow(run, schema)
 
 
 def phrases(docs: DataFrame, least: int = 100, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -212,32 +307,33 @@ def phrases(docs: DataFrame, least: int = 100, text_col: str = "text", lang_col:
     follows those). The second: ``lang``, ``n``.
     """
     held = keep(shards(docs, text_col, lang_col), "phrase-shards")
-    words = held.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    words = words.select("shard", "lang", (F.col("at") + 1).alias("code"), F.col("w.words").alias("word"),
-                         F.col("w.counts").alias("n"))
-    sizes = held.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n"))
-    words = keep(_often(words, ["lang", "word"], "code", least), "phrase-words")
-    found = keep(held.select("shard", "lang", "codes").groupBy("shard").cogroup(
-        words.select("shard", "code", "gid").groupBy("shard")).applyInArrow(_start, _FOUND), "phrases")
-    index = found.where(F.col("sequence").isNotNull()).select("shard", "lang", "sequence")
-
-    known = words.where(F.col("own") == F.col("gid")).select(
+    listed = held.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
+    same = Window.partitionBy("lang", "word")  # one row in a shard at most
+    own = F.shiftleft(F.col("shard"), 31).bitwiseOR(F.col("code"))
+    words = listed.select("shard", "lang", (F.col("at") + 1).cast("long").alias("code"), F.col("w.words").alias("word"),
+                          F.col("w.counts").alias("n"))
+    words = words.withColumns({"total": F.sum("n").over(same), "gid": F.min(own).over(same)}).where(F.col("total") >= least)
+    words = keep(words.drop("n"), "phrase-words")
+    sizes = keep(held.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")),
+                 "phrase-sizes")
+    parts = 1 + (sizes.agg(F.sum("n")).first()[0] or 0) // PART_ROWS
+    index = keep(held.select("shard", "lang", "codes").groupBy("shard").cogroup(
+        words.select("shard", "code", "gid").groupBy("shard")).applyInArrow(
+            _index, "shard long, lang string, sequence binary, gids binary"), "phrase-index")
+
+    known = words.where(own == F.col("gid")).select(
         "lang", "gid", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("total").alias("a"),
         F.array().cast("array<bigint>").alias("firsts"), F.array().cast("array<bigint>").alias("rests"))
-    levels = []
+    levels, often = [], None
     for size in range(2, LONGEST + 1):
-        counted = found.where(F.col("sequence").isNull()).drop("sequence")
-        often = keep(_often(counted, ["prefix", "suffix"], "first", least), "phrases-often")
-        named = often.where(F.col("own") == F.col("gid")).select("lang", "gid", "prefix", "suffix", F.col("total").alias("a"))
+        found = _pairs(index, parts) if size == 2 else _longer(index, often, parts)
+        often = keep(_summed(found, least), "phrases-often")
         begin = known.select(F.col("gid").alias("prefix"), F.col("phrase").alias("p_phrase"), F.col("a").alias("p_a"), "firsts")
         end = known.select(F.col("gid").alias("suffix"), "last", F.col("a").alias("s_a"), "rests")
-        known = keep(named.join(begin, "prefix").join(end, "suffix").select(
+        known = keep(_named(often).join(begin, "prefix").join(end, "suffix").select(
             "lang", "gid", "prefix", "suffix", F.concat_ws(" ", "p_phrase", "last").alias("phrase"), "last", "a",
             F.concat("firsts", F.array("p_a")).alias("firsts"), F.concat(F.array("s_a"), "rests").alias("rests")), "phrases-named")
         levels.append(known.withColumn("size", F.lit(size)).drop("last"))
-        if size < LONGEST:
-            found = keep(index.groupBy("shard").cogroup(
-                often.select("shard", "first", "back", "n", "gid").groupBy("shard")).applyInArrow(_go_on, _FOUND), "phrases")
     together = levels[0]
     for level in levels[1:]:
         together = together.unionByName(level)
