@@ -256,7 +256,7 @@ def _summed(blocks: DataFrame, least: int) -> DataFrame:
     All blocks of one part are summed in one group, about ``PART_ROWS`` phrases whatever the corpus. A phrase has
     one row in a shard at most, so the commonest one has as many rows as there are shards.
     """
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):  # annotated, Spark would look for iterators of tables
         shards, langs = table.column("shard").to_numpy(), table.column("lang").to_pylist()
         data = [_unpack(x, len(_FOUND)) for x in table.column("data").to_pylist()]
         row = np.repeat(np.arange(len(data)), [x.shape[1] for x in data])
