@@ -100,3 +100,9 @@ def test_scores_beyond_64_bits(spark):
     df = spark.createDataFrame([(big, 3 * big, big - 1, 2 * big + 5)], "a long, n long, l long, r long")
     found = df.select(collocations.score("a", "n", df["l"], df["r"])).first()[0]
     assert found == 1000 * big * 3 * big // ((big - 1) * (2 * big + 5))
+
+
+def test_blocks_keep_their_numbers():
+    columns = [np.array([0, 1, -1, 2 ** 62]), np.arange(4)]
+    assert (collocations._unpack(collocations._pack(columns), 2) == np.stack(columns)).all()
+    assert collocations._unpack(collocations._pack([np.zeros(0, np.int64)] * 3), 3).shape == (3, 0)

@@ -28,7 +28,9 @@ from tillroll.llm.token_ids import _joined, code_ranks, decode_ranks
 
 #: Text of a block. Larger blocks repeat fewer words; a task holds one.
 BLOCK_BYTES = 28 << 20
-INDEX_BITS = 30
+INDEX_BITS = 22
+#: Bits for the blocks of one input partition; what is left numbers two million partitions. Spark takes 100,000 buckets.
+BLOCK_BITS, MOST_BUCKETS = 20, 50_000
 #: Pre-tokens whose ids are put together at once.
 RUN_TOKENS = 1 << 20
 #: White space as Unicode has it; no pre-token goes from other text into it, so texts can be cut before each run.
@@ -86,10 +88,13 @@ def _blocks(docs: DataFrame, text_col: str, kept: list[str], pattern: str) -> Da
     arrow = to_arrow_schema(schema)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled, number = regex.compile(pattern), TaskContext.get().partitionId() << 10
+        compiled, number = regex.compile(pattern), TaskContext.get().partitionId() << BLOCK_BITS
+        end = number + (1 << BLOCK_BITS)
         for batch in batches:
             for rows in slices(batch, "__text", BLOCK_BYTES):
                 tokens, counts, distinct = pre_tokens(rows, compiled)
+                if len(distinct) >> INDEX_BITS:
+                    raise ValueError(f"one text has more than {1 << INDEX_BITS} distinct words")
                 control, data = code_ranks(tokens, counts)
                 columns = [rows.column(c) for c in kept]
                 records = pa.StructArray.from_arrays(columns, fields=list(arrow.field("docs").type.value_type))
@@ -98,6 +103,8 @@ def _blocks(docs: DataFrame, text_col: str, kept: list[str], pattern: str) -> Da
                 arrays = [pa.array([number]), whole(records), whole(pa.array(counts)), *merged, whole(distinct)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, arrow)], schema=arrow)
                 number += 1
+                if number == end:
+                    raise ValueError(f"one partition has {1 << BLOCK_BITS} blocks: use smaller input splits")
                 del tokens, control, data, merged, arrays
                 pa.default_memory_pool().release_unused()  # two workers and the JVM share the executor's memory
 
@@ -105,10 +112,12 @@ def _blocks(docs: DataFrame, text_col: str, kept: list[str], pattern: str) -> Da
     spark = docs.sparkSession
     path = new_path(spark, "bpe_blocks")
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    buckets = max(1, source.rdd.getNumPartitions())
+    buckets = min(max(1, source.rdd.getNumPartitions()), MOST_BUCKETS)
     source.mapInArrow(split, schema).write.option("path", path).option("compression", "zstd").bucketBy(
         buckets, "block").format("parquet").saveAsTable(table)
-    return spark.table(table)
+    blocks = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay; the plan knows their buckets
+    return blocks
 
 
 class TokenBytes:

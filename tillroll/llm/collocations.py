@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import keep, ragged, slices, starts
+from tillroll.llm.common import forget, keep, ragged, slices, starts
 
 #: Words of a shard (a text without any separator may make a longer one), and bits of a shard's number in its task.
 SHARD_WORDS, SHARD_BITS = 3 << 19, 10
@@ -42,8 +42,8 @@ def _tokens(texts: pa.Array) -> pa.Array:
 
 
 def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``shard``, ``lang``, distinct ``words`` with their ``counts``, and ``codes``: the words as 32-bit positions in that
-    list from 1 on, 0 between pieces. A NULL language is ``und``. Texts without words leave nothing."""
+    """``shard``, ``lang``, distinct ``words`` with their ``counts``, and ``codes``: the words as positions in that
+    list from 1 on, 0 between pieces, packed. A NULL language is ``und``. Texts without words leave nothing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[pa.Array]] = {}
         sizes: dict[str, int] = {}
@@ -66,7 +66,7 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
                 [pa.array([part << SHARD_BITS | made - 1]), pa.array([lang]),
                  pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())),
                  pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())),
-                 pa.array([codes.tobytes()], pa.binary())], names=["shard", "lang", "words", "counts", "codes"])
+                 pa.array([_pack([codes])], pa.binary())], names=["shard", "lang", "words", "counts", "codes"])
 
         for batch in batches:
             for rows in slices(batch, "__text"):
@@ -192,8 +192,10 @@ def _index(key, left: pa.Table, right: pa.Table) -> pa.Table:
     """The index of a shard over the words that the corpus has often, and the gids of those."""
     order = np.argsort(right.column("code").to_numpy())
     codes, gids = right.column("code").to_numpy()[order], right.column("gid").to_numpy()[order]
-    text = np.frombuffer(left.column("codes")[0].as_py(), "<i4")
+    text = _unpack(left.column("codes")[0].as_py(), 1)[0]
     symbol = np.zeros(int(text.max(initial=0)) + 1, np.int64)
+    order = np.argsort(-np.bincount(text, minlength=len(symbol))[codes], kind="stable")  # small numbers for common words
+    codes, gids = codes[order], gids[order]
     symbol[codes] = np.arange(1, len(codes) + 1)
     text = np.concatenate([[0], symbol[text], [0]])
     # rare words end phrases as separators do; a word between two of those is in no phrase
@@ -203,7 +205,8 @@ def _index(key, left: pa.Table, right: pa.Table) -> pa.Table:
     if not len(text):
         return pa.table([pa.array([], x) for x in (pa.int64(), pa.string(), pa.binary(), pa.binary())], names=names)
     small = text.astype("<u2" if len(codes) < 1 << 16 else "<u4")
-    both = transform(small).tobytes() + transform(small[::-1]).tobytes()
+    both = np.concatenate([transform(small), transform(small[::-1])])
+    both = both.view(np.uint8).reshape(-1, small.itemsize).T.tobytes()  # byte by byte: the high ones are mostly zero
     head = bytes([small.itemsize]) + len(small).to_bytes(8, "little")
     return pa.table([pa.array([key[0].as_py()]), pa.array([left.column("lang")[0].as_py()], pa.string()),
                      pa.array([head + pa.compress(both, "zstd", asbytes=True)], pa.binary()),
@@ -212,7 +215,8 @@ def _index(key, left: pa.Table, right: pa.Table) -> pa.Table:
 
 def _transforms(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     width, length = data[0], int.from_bytes(data[1:9], "little")
-    both = np.frombuffer(pa.decompress(data[9:], 2 * width * length, "zstd", asbytes=True), f"<u{width}")
+    planes = np.frombuffer(pa.decompress(data[9:], 2 * width * length, "zstd", asbytes=True), np.uint8)
+    both = planes.reshape(width, -1).T.copy().view(f"<u{width}")[:, 0]
     return both[:length], both[length:]
 
 
@@ -320,11 +324,12 @@ def phrases(docs: DataFrame, least: int = 100, text_col: str = "text", lang_col:
     index = keep(held.select("shard", "lang", "codes").groupBy("shard").cogroup(
         words.select("shard", "code", "gid").groupBy("shard")).applyInArrow(
             _index, "shard long, lang string, sequence binary, gids binary"), "phrase-index")
+    forget(held)
 
     known = words.where(own == F.col("gid")).select(
         "lang", "gid", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("total").alias("a"),
         F.array().cast("array<bigint>").alias("firsts"), F.array().cast("array<bigint>").alias("rests"))
-    levels, often = [], None
+    levels, used, often = [], [], None
     for size in range(2, LONGEST + 1):
         found = _pairs(index, parts) if size == 2 else _longer(index, often, parts)
         often = keep(_summed(found, least), "phrases-often")
@@ -334,6 +339,8 @@ def phrases(docs: DataFrame, least: int = 100, text_col: str = "text", lang_col:
             "lang", "gid", "prefix", "suffix", F.concat_ws(" ", "p_phrase", "last").alias("phrase"), "last", "a",
             F.concat("firsts", F.array("p_a")).alias("firsts"), F.concat(F.array("s_a"), "rests").alias("rests")), "phrases-named")
         levels.append(known.withColumn("size", F.lit(size)).drop("last"))
+        used.append(often)
+    forget(words, index, *used)
     together = levels[0]
     for level in levels[1:]:
         together = together.unionByName(level)

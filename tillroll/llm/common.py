@@ -44,7 +44,16 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage is cut, and lost executors lose nothing."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_path = path
+    return kept
+
+
+def forget(*kept: DataFrame) -> None:
+    """Deletes tables that ``keep`` wrote and that no plan needs any more: what was made of them is written itself."""
+    for df in kept:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.kept_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def lookup(left: DataFrame, groups: DataFrame, key: str, weight: str, spread: Column) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import keep, lookup, starts, with_columns
+from tillroll.llm.common import forget, keep, lookup, starts, with_columns
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 #: The pipeline's near-duplicate stage: shingles of five words, similarity of the shingle sets.
@@ -138,7 +138,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(parents, "a").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")),
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = keep(small.where(F.col("a") != F.col("b")).distinct(), "links")
+        older, edges = edges, keep(small.where(F.col("a") != F.col("b")).distinct(), "links")
+        forget(older)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
@@ -235,7 +236,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     sets = with_columns(texts, "__t", "hashes array<bigint>", lambda t: [_lists(list(_sets(t, shingle)))], ["node"])
     sets = sets.groupBy("node").agg(F.first("hashes").alias("hashes"))
     sets = keep(sets.select("node", F.size("hashes").cast("long").alias("n"), "hashes"), "similar-sets")
-    return keep(joined(likely, sets).where(enough(same)).select("a", "b"), "similar-links")
+    links = keep(joined(likely, sets).where(enough(same)).select("a", "b"), "similar-links")
+    forget(likely, wanted, sets)
+    return links
 
 
 def similar_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, shingle: int = PIPELINE_SHINGLE) -> DataFrame:
@@ -260,18 +263,24 @@ def similar_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILAR
                              F.count(F.lit(1)).over(W.partitionBy("value")).alias("rows"))
     entries = keep(entries.where(F.col("rows") > 1), "similar-entries")
     near = entries.select("x", F.explode("before").alias("y")).where(F.col("y").isNotNull())
-    links = _verified(candidates(near), nodes, docs, shingle, part)
+    pairs = candidates(near)
+    links = _verified(pairs, nodes, docs, shingle, part)
+    forget(pairs)
     roots = components(links)
     large = entries.where(F.col("rows") > BEFORE + 1).select("value", "x", F.col("x.node").alias("node"))
     large = large.join(roots, "node", "left").select("value", "x", F.coalesce("root", "node").alias("root"))
-    large = keep(large, "similar-large")
+    large, read = keep(large, "similar-large"), entries
+    forget(read)
     classes = large.select("value", "root").distinct()
     several = classes.groupBy("value").agg(F.count(F.lit(1)).alias("roots")).where(F.col("roots") > 1).select("value")
     classes = classes.join(several, "value")
     apart = classes.withColumnRenamed("root", "p").join(classes.withColumnRenamed("root", "q"), "value").where(F.col("p") < F.col("q"))
     apart = apart.join(large.withColumnRenamed("root", "p"), ["value", "p"])
     apart = apart.join(large.select("value", F.col("root").alias("q"), F.col("x").alias("y")), ["value", "q"])
-    return links.union(_verified(candidates(apart), nodes, docs, shingle, part))
+    pairs = candidates(apart)
+    more = _verified(pairs, nodes, docs, shingle, part)
+    forget(pairs, large)
+    return links.union(more)
 
 
 def representatives(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -288,7 +297,9 @@ def representatives(docs: DataFrame, id_col: str, text_col: str = "text", simila
     nodes = keep(nodes.select(F.monotonically_increasing_id().alias("node"), "row", "n", "prefix"), "similar-nodes")
     roots = components(similar_links(nodes, rows, similarity))
     firsts = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("row").alias("row"))
-    return firsts.select(F.col("row.id").alias(id_col), F.col("row.sha").alias("sha"))
+    firsts = keep(firsts.select(F.col("row.id").alias(id_col), F.col("row.sha").alias("sha")), "similar-firsts")
+    forget(nodes)
+    return firsts
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
