@@ -111,7 +111,6 @@ def test_warc_ranges_digests_and_false_magic(spark):
 
 def test_token_ids_equal_the_library(spark, docs):
     library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     before = 0
     for doc_id, start, n, crc in sorted(token_ids.op4_token_ids(spark, SF).collect()):
         ids = library.encode(docs[doc_id] or "", add_special_tokens=False).ids + [token_ids.END_ID]
@@ -119,7 +118,7 @@ def test_token_ids_equal_the_library(spark, docs):
         before += n
 
 
-def test_word_encoder_on_odd_words():
+def test_word_encoder_on_odd_words(monkeypatch):
     with open(P.path("word_bpe_49k.json"), encoding="utf-8") as file:
         text = file.read()
     library = Tokenizer.from_str(text)
@@ -129,6 +128,10 @@ def test_word_encoder_on_odd_words():
     words = list({"".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(3000)} | {"<|endoftext|>", "WE'LL'D"})
     wanted = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(words, add_special_tokens=False)]
     assert token_ids.WordEncoder(text, "<u2").encode(words) == wanted
+    monkeypatch.setattr(token_ids, "CACHE_WORDS", 500)
+    small = token_ids.WordEncoder(text, "<u2")
+    for at in (0, 400, 200, 0, 2000, 0):  # words that come back from the older generation, and forgotten ones
+        assert small.encode(words[at: at + 400]) == wanted[at: at + 400]
 
 
 def test_token_ids_keep_added_tokens(spark):

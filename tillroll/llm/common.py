@@ -131,7 +131,8 @@ def binary_array(data: bytes | np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def with_columns(df: DataFrame, text_col: str, fields: str, compute, keep_columns: list[str] | None = None) -> DataFrame:
+def with_columns(df: DataFrame, text_col: str, fields: str, compute, keep_columns: list[str] | None = None,
+                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Adds the columns ``fields`` (DDL) that ``compute`` makes from a slice of ``text_col``.
 
     ``compute`` takes an Arrow string array, NULLs included, and returns one Arrow array for each field. Columns of
@@ -145,7 +146,7 @@ def with_columns(df: DataFrame, text_col: str, fields: str, compute, keep_column
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", slice_bytes):
                 made = compute(part.column("__text"))
                 made = [pa.array(x, type=t) if not isinstance(x, pa.Array) else x.cast(t) for x, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *made], names=names)

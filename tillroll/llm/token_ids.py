@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +29,20 @@ from tokenizers import Tokenizer
 from tillroll.llm.common import binary_array, keep, new_path, ragged, slices, starts, with_columns, words
 
 END_ID = 1
-#: Distinct words a task remembers with their ids; beyond it, the memory starts anew.
+#: Distinct words that a Python worker remembers with their ids, in each of two generations (and a slice's more).
 CACHE_WORDS = 300_000
+#: Text of one slice: a distinct word of a slice is looked up once.
+SLICE_BYTES = 16 << 20
 #: Of every control byte, the lengths of its four ids.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 class WordEncoder:
-    """Ids of single words, as the tokenizers library gives them; remembers up to ``CACHE_WORDS`` words.
+    """Ids of single words, as the tokenizers library gives them; remembers the last ``CACHE_WORDS`` words or more.
+
+    The memory has two generations. A full one becomes the older one, whose words come back when they are met again,
+    so that frequent words are never forgotten and rare ones are dropped.
 
     Words of Latin letters, digits and signs alone (code points below U+0250, where normal forms and classes are
     settled) are lower-cased and split here, and only their distinct pieces go to the library's model, which is
@@ -65,19 +71,24 @@ class WordEncoder:
         patterns = [x.get("pattern", {}).get("Regex") for x in own.get("pretokenizers", [])]
         self.fast = self.PIECES.pattern in patterns
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def encode(self, distinct: list[str]) -> list[bytes]:
-        known = self.known
-        fresh = [w for w in distinct if w not in known]
-        if len(known) + len(fresh) > CACHE_WORDS:
-            known.clear()
-            self.pieces.clear()
-            fresh = distinct
+        known, older, fresh = self.known, self.older, []
+        for word in distinct:
+            if word not in known:
+                ids = older.get(word)
+                if ids is None:
+                    fresh.append(word)
+                else:
+                    known[word] = ids
         plain, find, piece, held = self.PLAIN.fullmatch, self.PIECES.findall, self._piece, self.added
+        some_held = held(" ".join(fresh)) is not None
         other = []
         for word in fresh:
-            if self.fast and plain(word) and not held(word):
+            if self.fast and (word.isascii() or plain(word)) and not (some_held and held(word)):
                 low = word.lower()
                 if low.isalpha():
                     known[word] = piece(low)
@@ -91,17 +102,30 @@ class WordEncoder:
             chunk = other[at: at + 10_000]
             for word, e in zip(chunk, self.tokenizer.encode_batch_fast(chunk, add_special_tokens=False)):
                 known[word] = np.array(e.ids, self.width).tobytes()
-        return [known[w] for w in distinct]
+        found = [known[w] for w in distinct]
+        if len(known) > CACHE_WORDS:
+            self.known, self.older = {}, known
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces, self.older_pieces = {}, self.pieces
+        return found
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            name = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.NAMES)
-            ids = np.fromiter((t.id for t in self.model.tokenize(name)), self.width).tobytes()
+            ids = self.older_pieces.get(piece)
+            if ids is None:
+                name = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.NAMES)
+                ids = np.fromiter((t.id for t in self.model.tokenize(name)), self.width).tobytes()
             self.pieces[piece] = ids
         return ids
 
 
+@lru_cache(maxsize=2)
+def worker_encoder(tokenizer_json: str, width: str) -> WordEncoder:
+    """The encoder of a Python worker, which the tasks that it runs one after the other share."""
+    return WordEncoder(tokenizer_json, width, added_as_text=False)
+
+
 def tokenize(docs: DataFrame, tokenizer_json: str, text_col: str, keep_columns: list[str]) -> tuple[DataFrame, str]:
     """Adds ``ids``: the ids of each whole text as little-endian integers of 2 bytes (4 for large vocabularies).
 
@@ -110,13 +134,11 @@ def tokenize(docs: DataFrame, tokenizer_json: str, text_col: str, keep_columns:
     """
     width = "<u2" if Tokenizer.from_str(tokenizer_json).get_vocab_size() <= 1 << 16 else "<u4"
     item = np.dtype(width).itemsize
-    state: dict = {}
 
     def encode(texts: pa.Array) -> list:
-        if not state:
-            state["words"] = WordEncoder(tokenizer_json, width, added_as_text=False)
         codes, counts, distinct = words(texts)
-        table = state["words"].encode(distinct.to_pylist())
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), " ")[0].as_py()
+        table = worker_encoder(tokenizer_json, width).encode(joined.split(" ") if joined else [])
         sizes = np.fromiter(map(len, table), np.int64, len(table)) // item
         flat = np.frombuffer(b"".join(table), width)
         per_word = sizes[codes] if len(codes) else np.zeros(0, np.int64)
@@ -126,7 +148,7 @@ def tokenize(docs: DataFrame, tokenizer_json: str, text_col: str, keep_columns:
         sizes = np.diff(np.concatenate([[0], ends])) + 1
         return [binary_array(with_end, sizes * item)]
 
-    return with_columns(docs, text_col, "ids binary", encode, keep_columns), width
+    return with_columns(docs, text_col, "ids binary", encode, keep_columns, SLICE_BYTES), width
 
 
 def _joined(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
