@@ -181,6 +181,64 @@ def test_toxicity_learns_and_shares_misspellings():
     assert toxicity.score(None, pa.array(["a", None]))[0].tolist() == [0, 0]
 
 
+def test_toxicity_scores_every_start():
+    rng = np.random.default_rng(5)
+    names = ["sun", "you", "tree", "idiots", "a", "worthless"]
+    model = {"gram": rng.normal(0, 3, toxicity.BUCKETS), "bias": -0.5}
+    texts = [" ".join(rng.choice(names, n)) for n in (0, 1, 5, 7, 8, 9, 10, 40, 300)] + [None]
+    weight = {}
+    for name in names:
+        bucket, _ = toxicity.grams([name])
+        weight[name] = model["gram"][bucket].mean()
+    for text, got in zip(texts, toxicity.score(model, pa.array(texts))[0]):
+        each = [weight[w] for w in (text or "").split()]
+        windows = [each[k: k + n] for n in range(1, 9) for k in range(len(each) - n + 1)] or [[]]
+        assert got == pytest.approx(1 / (1 + np.exp(-(max(sum(w) for w in windows) / 8 - 0.5))))
+
+
+def test_toxicity_verdict_holds_wherever_the_phrase_stands():
+    rng = np.random.default_rng(1)
+    neutral = ["tree", "house", "walk", "river", "green", "music", "paper", "cloud"]
+    clean = [" ".join(rng.choice(neutral, 40)) for _ in range(120)]
+    bad = [f"{t} you worthless idiots {t}" for t in clean]
+    model = toxicity.train(clean + bad, [0] * 120 + [1] * 120)
+    tail = " ".join(rng.choice(neutral, 30))
+    moved = [" ".join([*rng.choice(neutral, k), "you worthless idiots", tail]) for k in range(8, 30)]
+    plain = [" ".join(rng.choice(neutral, 40 + k)) for k in range(22)]
+    assert (toxicity.score(model, pa.array(moved))[0] >= toxicity.THRESHOLD).all()
+    assert (toxicity.score(model, pa.array(plain))[0] < toxicity.THRESHOLD).all()
+
+
+def test_toxicity_of_odd_and_empty_tables(spark, odd):
+    model = {"gram": np.zeros(toxicity.BUCKETS), "bias": -1.0}
+    clashing = odd.withColumn("score", F.lit("mine"))
+    rows = toxicity.rate(clashing, model).collect()
+    assert len(rows) == odd.count() and sorted(rows[0].asDict()) == sorted(clashing.columns)
+    assert {round(r.score, 6) for r in rows} == {round(1 / (1 + np.e), 6)}
+    assert toxicity.rate(odd.limit(0), model).count() == 0
+    assert {r.score for r in toxicity.rate(odd, None).collect()} == {0.0}
+
+
+def test_toxicity_trains_on_whole_texts_only(spark):
+    docs = spark.createDataFrame([(0, "short one"), (1, "y" * (toxicity.SAMPLE_CHARS + 1)), (2, None), (3, "")], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    held = {k for k in range(4) if zlib.crc32(str(k).encode()) % 3 == 1}
+    texts, _ = toxicity.training_sample(docs, labels)
+    assert sorted(texts) == sorted(t for k, t in [(0, "short one"), (3, "")] if k not in held)
+    assert toxicity.training_sample(docs, labels.limit(0)) == ([], [])
+
+
+def test_toxicity_query_holds_out_and_finds_labels(spark):
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = toxicity.op6_subword_toxicity(spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
+        assert r.predicted == (r.score >= toxicity.THRESHOLD)
+    clean = [r.predicted for r in rows if truth.get(r.doc_id) == 0]
+    assert np.mean(clean) < 0.1
+
+
 def _fingerprint(text, shingle=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     parts = [" ".join(words[i: i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []

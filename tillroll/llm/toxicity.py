@@ -2,7 +2,8 @@
 
 A word is the mean of the vectors of its character n-grams, hashed into buckets, so an unseen misspelling shares
 most vectors with the word it stands for. A window of words is the mean of its words, and a softmax over it gives
-the probability of the label. A text's score is that of its most toxic window; windows of the whole text count.
+the probability of the label. A text's score is that of its most toxic stretch of at most a window, padded, among all
+stretches of the whole text: a phrase counts alike wherever it stands, and no words around it lower the score.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import ragged, starts, with_columns, words
 
 GRAMS, BUCKETS, DIM, WINDOW = (3, 4, 5), 1 << 16, 8, 8
-#: Bounds of the training sample: labelled documents of each class, and characters of each.
+#: Bounds of the training sample: labelled documents of each class, and the longest text that trains (texts are
+#: never cut, since a label need not hold for a part).
 SAMPLE_DOCS, SAMPLE_CHARS = 2500, 6000
 WARM, ROUNDS, BATCH, RATE, SCALE, EPSILON = 2, 25, 256, 0.02, 8.0, 1e-4
 THRESHOLD = 0.7
@@ -49,11 +51,36 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _worst(weights: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, length and summed weight of each text's heaviest stretch of 1 to ``WINDOW`` words, first of equals.
+
+    ``weights`` has a number for each word of all texts in turn. A text without words has an empty stretch of weight 0.
+    """
+    sums = np.concatenate([[0], np.cumsum(weights)])
+    end = np.repeat(starts(counts)[1:], counts)
+    start = np.arange(len(end))
+    best, length = np.full(len(end), -np.inf), np.ones(len(end), np.int64)
+    for k in range(1, WINDOW + 1):
+        last = np.minimum(start + k, end)
+        here = sums[last] - sums[start]
+        better = here > best
+        best[better], length[better] = here[better], (last - start)[better]
+    first, size, top = starts(counts)[:-1], np.zeros(len(counts), np.int64), np.zeros(len(counts))
+    some = counts > 0
+    if some.any():
+        top[some] = np.maximum.reduceat(best, first[some])
+        equal = np.flatnonzero(best == np.repeat(top, counts))
+        first[some] = equal[np.searchsorted(equal, first[some])]
+        size[some] = length[first[some]]
+    return first, size, top
+
+
 def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
     """Fits bucket vectors and softmax together by Adam; None unless both classes are there.
 
-    The first ``WARM`` passes take every window with its document's label. The ``ROUNDS`` after them take each
-    document's most toxic window at that time, as ``score`` does, since most windows of a toxic text are clean.
+    The first ``WARM`` passes take windows side by side, from a random start on, with their document's label. The
+    ``ROUNDS`` after them take each document's most toxic stretch at that time, as ``score`` does, since most windows
+    of a toxic text are clean.
     """
     if len(set(labels)) < 2:
         return None
@@ -61,21 +88,23 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> dict | None:
     codes, counts, distinct = words(pa.array(texts, pa.string()))
     bucket, sizes = grams(distinct.to_pylist())
     begin = starts(sizes)[:-1]
-    per_doc = np.maximum(1, -(-counts // WINDOW))
-    doc = np.repeat(np.arange(len(counts)), per_doc)
-    first = ragged(np.zeros(len(counts), np.int64), per_doc) * WINDOW + starts(counts)[doc]
-    length = np.minimum(first + WINDOW, starts(counts)[doc + 1]) - first
-    y = np.array(labels)[doc]
+    labels = np.array(labels)
     p = {"E": rng.normal(0, 0.3, (BUCKETS, DIM)), "V": rng.normal(0, 0.3, (DIM, 2)), "b": np.zeros(2)}
     m, v, step = {k: 0 * x for k, x in p.items()}, {k: 0 * x for k, x in p.items()}, 0
     for turn in range(WARM + ROUNDS):
-        chosen = np.arange(len(first))
-        if turn >= WARM:
+        if turn < WARM:
+            shift = rng.integers(1, WINDOW + 1, size=len(counts))  # words of the first window
+            per_doc = np.where(counts > shift, 1 - (-(counts - shift) // WINDOW), 1)
+            doc = np.repeat(np.arange(len(counts)), per_doc)
+            first = ragged(np.zeros(len(counts), np.int64), per_doc) * WINDOW + (shift - WINDOW)[doc]
+            last = np.minimum(first + WINDOW, counts[doc])
+            first = np.maximum(first, 0)
+            first, length, y = starts(counts)[doc] + first, last - first, labels[doc]
+        else:
             each = np.add.reduceat((p["E"] @ (p["V"][:, 1] - p["V"][:, 0]))[bucket], begin) / sizes
-            sums = np.concatenate([[0], np.cumsum(each[codes])])
-            order = np.lexsort((-(sums[first + length] - sums[first]), doc))
-            chosen = order[starts(per_doc)[:-1]]
-        for rows in np.array_split(rng.permutation(chosen), max(1, len(chosen) // BATCH)):
+            first, length, _ = _worst(each[codes], counts)
+            y = labels
+        for rows in np.array_split(rng.permutation(len(first)), max(1, len(first) // BATCH)):
             owner = np.repeat(np.arange(len(rows)), length[rows])
             word, at = np.unique(codes[ragged(first[rows], length[rows])], return_inverse=True)
             gram = bucket[ragged(begin[word], sizes[word])]
@@ -103,18 +132,13 @@ def _sums(owner: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 def score(model: dict | None, texts: pa.Array) -> list:
-    """The probability of the label in each text's most toxic window; windows are padded to their full length."""
+    """The probability of the label in each text's most toxic stretch, padded to a window's length."""
     if model is None:
         return [np.zeros(len(texts))]
     codes, counts, distinct = words(texts)
     bucket, sizes = grams(distinct.to_pylist())
     each = np.add.reduceat(model["gram"][bucket], starts(sizes)[:-1]) / sizes if len(sizes) else np.zeros(0)
-    per_doc = np.maximum(1, -(-counts // WINDOW))
-    first = ragged(np.zeros(len(counts), np.int64), per_doc) * WINDOW + np.repeat(starts(counts)[:-1], per_doc)
-    sums = np.concatenate([[0], np.cumsum(each[codes])])
-    last = np.minimum(first + WINDOW, np.repeat(starts(counts)[1:], per_doc))
-    means = (sums[last] - sums[first]) / WINDOW
-    worst = np.maximum.reduceat(means, starts(per_doc)[:-1]) if len(counts) else np.zeros(0)
+    worst = _worst(each[codes], counts)[2] / WINDOW
     return [1 / (1 + np.exp(-np.clip(worst + model["bias"], -60, 60)))]
 
 
@@ -128,16 +152,16 @@ def rate(docs: DataFrame, model: dict | None, text_col: str = "text", keep_colum
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """At most ``SAMPLE_DOCS`` labelled documents of each class, ``SAMPLE_CHARS`` characters of each.
+    """At most ``SAMPLE_DOCS`` labelled documents of each class, whole texts of at most ``SAMPLE_CHARS`` characters.
 
-    The labels with the smallest hashes are taken first; they are few, so they are sent to the documents.
+    The labels with the smallest hashes are taken first; they are few, so they are sent to the documents. Those whose
+    text is NULL or longer do not train.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~_held_out()).select("doc_id", "toxic")
     chosen = [usable.where(F.col("toxic") == k).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
               for k in (0, 1)]
-    text = F.substring(F.col("text"), 1, SAMPLE_CHARS)
-    rows = docs.where(F.col("text").isNotNull()).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
-    rows = rows.select("toxic", text.alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    rows = docs.where(F.char_length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    rows = rows.select("toxic", "text", F.xxhash64("doc_id", "text").alias("h"))
     rows = rows.orderBy("h", "toxic").limit(2 * SAMPLE_DOCS).collect()
     return [r["text"] for r in rows], [r["toxic"] for r in rows]
 
