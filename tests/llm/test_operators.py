@@ -486,3 +486,48 @@ def test_pipeline_stages_on_odd_rows(spark, odd):
             assert stage is corpus_pipeline.STAGES[-1][1] or out.columns == docs.columns
     near = dict(corpus_pipeline.STAGES)["near_dedup"](spark, odd, SF)
     assert near.where("trim(coalesce(text, '')) = ''").count() <= 2
+
+
+def plain_contains(pattern: str, text: str, limit: int) -> bool:
+    """Whether some stretch of ``text`` is within ``limit`` edits of ``pattern``, by the whole table of distances."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        last, row = row, [i] + [0] * len(text)
+        for j, d in enumerate(text, 1):
+            row[j] = min(last[j - 1] + (c != d), last[j] + 1, row[j - 1] + 1)
+    return min(row) <= limit
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = random.Random(23)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+
+    def text(n):
+        return decontaminate.normalize("".join(rng.choices(letters, k=n))).ljust(n, "q")
+
+    def edited(passage, edits):
+        out = list(passage)
+        for _ in range(edits):
+            k = rng.randrange(len(out))
+            out[k: k + 1] = rng.choice([[], ["#"], [out[k], "#"]])
+        return "".join(out)
+
+    items = [text(40), text(70), text(103), None, "short"]
+    bodies = [text(60) + edited(item[a: a + 100], edits) + text(40)
+              for item in items[:3] for a in (0, 3) for edits in (0, 2, 4, 6, 8, 11)] + [None, "", text(150)]
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    wanted = set()
+    for n, body in enumerate(bodies):
+        for k, item in enumerate(items):
+            if item is None or body is None or len(item) < decontaminate.Q:
+                continue
+            span = min(len(item), decontaminate.SPAN)
+            limit = int(decontaminate.EDITS * span)
+            plain, whole = decontaminate.normalize(item), decontaminate.normalize(body)
+            if any(plain_contains(plain[a: a + span], whole, limit) for a in range(len(plain) - span + 1)):
+                wanted.add((n, k))
+    found = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()]
+    assert sorted(found) == sorted(wanted) and 10 < len(wanted) < len(bodies)
+    assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
+    assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
