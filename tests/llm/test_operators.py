@@ -75,6 +75,7 @@ def test_repetition_edge_cases(odd):
     assert by_text["a b c d e f g h i j k l"].kept
     assert by_text["x " * 5000].longest_repeat == 4999 and not by_text["x " * 5000].kept
     assert [(s.start, s.stop) for s in by_text["x " * 5000].spans] == [(0, 5000)]
+    assert repetition.repetition(odd.limit(0)).count() == 0
 
 
 def test_line_dedup_edge_cases(spark, odd):
@@ -154,10 +155,13 @@ def test_rank_coding_round_trip():
 
 def test_token_ids_edge_cases(spark, odd):
     with open(P.path("word_bpe_49k.json"), encoding="utf-8") as file:
-        token_ids.write_ids(odd, path := new_path(spark, "ids-test"), file.read())
+        tokenizer_json = file.read()
+    token_ids.write_ids(odd, path := new_path(spark, "ids-test"), tokenizer_json)
     rows = token_ids.read_ids(spark, path).orderBy("start").collect()
     assert len(rows) == odd.count() and rows[0].start == 0
     assert all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
+    token_ids.write_ids(odd.limit(0), empty := new_path(spark, "ids-empty"), tokenizer_json)
+    assert token_ids.read_ids(spark, empty).count() == 0
 
 
 def test_language_held_out_accuracy(spark, odd):
@@ -169,6 +173,7 @@ def test_language_held_out_accuracy(spark, odd):
     model = language.train([("en", "the and of"), ("fr", "le la et")])
     assert all(r.lang_pred == "und" and r.score == 0 for r in language.identify(odd, model).collect() if not (r.text or "").strip())
     assert language.identify(odd, None).where("lang_pred <> 'und'").count() == 0
+    assert language.identify(odd.limit(0), model).count() == 0
 
 
 def test_toxicity_learns_and_shares_misspellings():
