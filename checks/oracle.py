@@ -396,6 +396,22 @@ def _profile(keep: str, nan_is_missing: bool) -> str:
     return f"WITH {HOLEY} {_union(parts)}"
 
 
+LINEITEM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _lineitem_profile(sketched: bool) -> str:
+    parts = []
+    for c in LINEITEM:
+        distinct = f"(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END))"
+        verdict = f"CASE WHEN {distinct} = 1 THEN 'drop (constant)' ELSE 'keep' END AS verdict"
+        counts = f"count(*) - count({c}) AS n_missing"
+        found = (f"{counts}, {verdict}, true AS within" if sketched else
+                 f"{distinct} AS n_distinct, {counts}, round((count(*) - count({c})) / count(*) * 100, 6) AS missing_pct, {verdict}")
+        parts.append(f"SELECT '{c}' AS \"column\", {found} FROM lineitem")
+    return _union(parts)
+
+
 def _null_counts() -> str:
     names = ("article_id prod_name colour_group_name graphical_appearance_name product_type_name"
              " index_group_name index_name department_name section_name garment_group_name"
@@ -464,6 +480,8 @@ WITH {BINDING} SELECT round(avg(sales_channel_id), 6) AS mean_code,
        count(DISTINCT sales_channel_id) AS n_codes FROM sales""",
     "profile_columns": _profile("p_partkey", False),
     "profile_columns_nan_aware": _profile("", True),
+    "profile_purchases": _lineitem_profile(False),
+    "profile_sketches": _lineitem_profile(True),
     "null_counts": _null_counts(),
     "duplicate_count": """
 SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)) AS duplicate_rows

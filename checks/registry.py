@@ -131,6 +131,19 @@ def _sketched_profile(t: Retail) -> DataFrame:
     return profile.select("column", "minimum", "maximum", "mean", "stddev", *within)
 
 
+def _sketches_by_year(t: Retail) -> DataFrame:
+    """The profile of lineitem from sketches kept for each year of deliveries, and whether it is as near as promised."""
+    items, path = t.table("lineitem"), scratch_path(t.spark, "sketches")
+    years = items.agg(F.min(F.year("l_shipdate")), F.max(F.year("l_shipdate"))).first()
+    for year in range(years[0], years[1] + 1):
+        quality.append_sketches(items.filter(F.year("l_shipdate") == year), path)
+    quality.append_sketches(items.filter(F.col("l_shipdate").isNull()), path)
+    kept = quality.sketched_profile(t.spark.read.parquet(path))
+    exact = quality.profile_columns(items).select("column", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= quality.SKETCH_ERROR * F.col("exact")
+    return kept.join(exact, "column").select("column", "n_missing", "verdict", near.alias("within"))
+
+
 def _clean_counts(t: Retail) -> DataFrame:
     complete = F.col("department_name").isNotNull() & F.col("perceived_colour_value_name").isNotNull()
     return quality.removal_report(t.articles, complete)
@@ -206,6 +219,8 @@ _QUERIES: dict[str, tuple[Query, dict[str, int]]] = {
         lambda t: quality.profile_columns(t.holey_parts, keep=["p_partkey"]), {"missing_pct": 6}),
     "profile_columns_nan_aware": (
         lambda t: quality.profile_columns(t.holey_parts, nan_is_missing=True), {"missing_pct": 6}),
+    "profile_purchases": (lambda t: quality.profile_columns(t.table("lineitem")), {"missing_pct": 6}),
+    "profile_sketches": (_sketches_by_year, {}),
     "null_counts": (lambda t: quality.null_counts(t.articles), {}),
     "duplicate_count": (
         lambda t: quality.duplicate_count(t.table("lineitem").select("l_partkey", "l_suppkey")), {}),

@@ -29,6 +29,38 @@ def test_approximate_profile(spark):
     assert result[1][1] == 3 and abs(result[0][1] - 1000) < 100
 
 
+def test_bitmaps_count_as_a_distinct_count(spark):
+    frame = spark.sql("""
+        SELECT id * 1000003 % 977 - 400 AS dense, id * 7919 * 1000000007 AS far, CAST(id % 3 AS tinyint) AS small,
+               id % 2 = 0 AS flag, CAST(id % 50 / 4 AS decimal(9, 2)) AS price, date_add(DATE'1969-11-01', CAST(id % 120 AS int)) AS day,
+               timestamp_micros(id % 300 - 150) AS moment, IF(id % 5 = 0, NULL, id % 70) AS half, CAST(NULL AS int) AS none,
+               CAST(id % 9 AS string) AS text, IF(id % 2 = 0, 9223372036854775807, -9223372036854775807 - 1) AS ends
+        FROM range(5000)""")
+    found = {r["column"]: (r["n_distinct"], r["n_missing"]) for r in quality.profile_columns(frame).collect()}
+    plain = frame.agg(*[F.struct((F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias("d"),
+                                 F.count_if(F.col(c).isNull()).alias("m")).alias(c) for c in frame.columns]).first()
+    assert found == {c: tuple(plain[c]) for c in frame.columns} and list(found) == frame.columns
+    assert rows(quality.profile_columns(frame.select("day", "text").limit(0))) == [
+        ("day", 0, 0, 0.0, "keep"), ("text", 0, 0, 0.0, "keep")]
+
+
+def test_bitmaps_leave_a_task_as_words(spark):
+    words = quality.bitmap_words(spark.range(64_000).select("id", (F.col("id") * 64).alias("far")), ["id", "far"])
+    assert sorted(rows(words.groupBy("at").count())) == [(0, 1000), (1, 64_000)]
+    assert "SortAggregate" not in words._jdf.queryExecution().toString()
+
+
+def test_sketches_of_parts_add_up(spark, tmp_path):
+    frame = spark.sql("SELECT id AS n, CAST(id % 7 AS double) AS d, CAST(id % 1000 AS string) AS s, 1 AS one, "
+                      "IF(id % 4 = 0, NULL, DATE'2020-01-01') AS day FROM range(20000)")
+    for part in (frame.filter("n < 9000"), frame.filter("n >= 6000 AND n < 9000"), frame.filter("n >= 9000"), frame.limit(0)):
+        quality.append_sketches(part, str(tmp_path / "sketches"))
+    found = {r["column"]: r for r in quality.sketched_profile(spark.read.parquet(str(tmp_path / "sketches")), keep=["n"]).collect()}
+    assert abs(found["n"]["n_distinct"] - 20000) < 1000 and abs(found["s"]["n_distinct"] - 1000) < 50
+    assert [found[c]["n_distinct"] for c in ("d", "one", "day")] == [7, 1, 2]
+    assert found["day"]["n_missing"] == 5750 and found["one"]["verdict"].startswith("drop") and found["n"]["verdict"] == "keep (core)"
+
+
 def test_nan_counts_as_missing_only_in_floats(spark):
     frame = spark.createDataFrame([(math.nan, "x"), (None, None), (1.0, "y")], "d double, s string")
     assert rows(quality.null_counts(frame)) == [("d", 1), ("s", 1)]

@@ -21,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
     return context.getCheckpointDir()
