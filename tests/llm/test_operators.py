@@ -536,3 +536,19 @@ def test_decontamination_equals_brute_force(spark):
     assert sorted(found) == sorted(wanted) and 10 < len(wanted) < len(bodies)
     assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def test_decontamination_by_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefgh", k=90)) for _ in range(30)]
+    items = [(k % 25, t) for k, t in enumerate(texts)] + [(7, texts[7]), (None, texts[3]), (99, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(k, "w " + t + " w", "x") for k, t in enumerate(texts)], "place long, text string, item_id string")
+    wanted = sorted([(k, k % 25) for k in range(30)] + [(3, -1)])
+    for size in (8 << 20, 300):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", size)
+        found = decontaminate.contaminated(docs, benchmark, id_col="place")
+        assert found.columns == ["doc_id", "item_id", "place", "length", "edits"]
+        assert sorted((r.doc_id, -1 if r.item_id is None else r.item_id) for r in found.collect()) == wanted
+    named = benchmark.select(F.concat(F.lit("b"), "item_id").alias("item_id"), "text")
+    assert {r.item_id for r in decontaminate.contaminated(docs, named, id_col="item_id").collect()} == {None, *(f"b{k}" for k in range(25))}

@@ -14,17 +14,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tillroll.llm.common import ragged, slices
+from tillroll.llm.common import new_path, ragged, slices
 
 #: q-grams of eight characters; stretches of 100 characters; six edits in a hundred characters.
 Q, SPAN, EDITS = 8, 100, 0.06
 #: Benchmark text of one pass over the documents: bounds the index that is sent to every task.
 BLOCK_CHARS = 8 << 20
 HASH_BITS = 22
+#: Tasks that write the benchmark's blocks.
+MAX_WRITERS = 200
 
 
 def normalize(text: str | None) -> str:
@@ -175,51 +179,86 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and item found in it: ids, ``place`` and ``length`` of a region near enough, ``edits``.
 
-    Places count characters of the normalised text. The benchmark goes to the documents in blocks of
-    ``BLOCK_CHARS`` characters, one pass for each block, so the index that tasks hold is bounded however long the
-    benchmark is. Whole texts are searched. NULL, empty and very short texts (under ``Q`` characters, on either
-    side) match nothing; an item under ``SPAN`` characters has to be there as a whole. Rows that repeat an id, and
-    rows without one, each give their own matches; a row with a NULL item id gives NULL.
+    Places count characters of the normalised text. The benchmark is written to the shared folder in blocks of about
+    ``BLOCK_CHARS`` characters when called, and a task searches its documents for one block, which it reads and
+    indexes itself: neither the driver nor a task ever holds more of the benchmark than a block. Whole texts are
+    searched. NULL, empty and very short texts (under ``Q`` characters, on either side) match nothing; an item under
+    ``SPAN`` characters has to be there as a whole. Rows that repeat a document's id, and rows without one, each give
+    their own matches. An item is what id and text make it: rows that repeat both count once, items that only share
+    an id give a row each, and a NULL item id gives NULL. The items' ids are called ``item_id``; documents' ids that
+    have the name of another column of the result are called ``doc_id``.
     """
-    schema = StructType([docs.schema[id_col], StructField("item_id", LongType()), StructField("place", LongType()),
-                         StructField("length", LongType()), StructField("edits", LongType())])
+    spark = docs.sparkSession
+    own = "doc_id" if id_col in ("item_id", "place", "length", "edits") else id_col
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("__text"))
+    schema = StructType([StructField(own, docs.schema[id_col].dataType), items.schema["item_id"],
+                         *(StructField(c, LongType()) for c in ("place", "length", "edits"))])
     out = None
-    for block in _benchmark_blocks(benchmark.select(F.col(item_col).cast("long"), item_text_col)):
-        found = docs.select(id_col, F.col(text_col).cast("string").alias("__text")).mapInArrow(
-            _search(build(block), schema.names), schema)
+    for block in write_blocks(items.where(F.col("__text").isNotNull())):
+        found = docs.select(F.col(id_col).alias(own), F.col(text_col).cast("string").alias("__text")).mapInArrow(
+            _search(block, schema.names), schema)
         out = found if out is None else out.union(found)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
-
-
-def _benchmark_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark by parts of about ``BLOCK_CHARS``; only one part at a time is on the driver."""
-    block, size = [], 0
-    for item_id, text in items.where(F.col(items.columns[1]).isNotNull()).toLocalIterator():
-        block.append((item_id, text))
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
-def _search(indexes: list[Index], names: list[str]):
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def write_blocks(items: DataFrame) -> list[str]:
+    """Writes ``items`` (``item_id``, ``__text``) to folders of about ``BLOCK_CHARS`` characters; rows are dealt by a
+    hash of both columns, so copies of one text spread as well."""
+    spark = items.sparkSession
+    size = items.agg(F.coalesce(F.sum(F.char_length("__text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+    blocks = -(-size // BLOCK_CHARS)
+    if not blocks:
+        return []
+    folder = new_path(spark, "benchmark")
+    block = F.pmod(F.xxhash64(F.col("item_id").cast("string"), "__text"), F.lit(blocks))
+    items.dropDuplicates().withColumn("block", block).repartition(int(min(blocks, MAX_WRITERS)), "block").write.partitionBy("block").parquet(folder)
+    return [f"{folder}/block={k}" for k in range(blocks)]
+
+
+#: The block that this worker searched last, with its indexes and the ids of each distinct text.
+_last: list = [None, [], []]
+
+
+def _block(folder: str) -> tuple[list[Index], list[pa.Array]]:
+    """Indexes of the distinct texts of a block, and the item ids of each; read once by a worker for tasks in a row."""
+    if _last[0] != folder:
+        _last[:] = [None, [], []]
+        system, path = pafs.FileSystem.from_uri(folder)
+        files = [f.path for f in system.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet")]
+        tables = [pq.ParquetFile(system.open_input_file(f)).read() for f in sorted(files)]
+        places, texts, ids = {}, [], []
+        for table in tables:
+            for row, text in enumerate(table.column("__text").to_pylist()):
+                at = places.setdefault(text, len(places))
+                if at == len(texts):
+                    texts.append(text)
+                    ids.append([])
+                ids[at].append(table.column("item_id")[row].as_py())
+        kind = tables[0].schema.field("item_id").type if tables else pa.int64()
+        _last[:] = [folder, build(list(enumerate(texts))), [pa.array(x, kind) for x in ids]]
+    return _last[1], _last[2]
+
+
+def _search(block: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        indexes, ids = _block(block)
         for batch in batches:
             for rows in slices(batch, "__text"):
-                owners, found = [], []
+                owners, found, items = [], [], []
                 for row, text in enumerate(rows.column("__text").to_pylist()):
                     points = _points(normalize(text))
                     if len(points) < Q:
                         continue
                     grams = _grams(points)
                     for index in indexes:
-                        for item_id, where in matches(index, points, grams).items():
-                            owners.append(row)
-                            found.append((item_id, *where))
-                columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(owners, pa.int64())), *columns], names=names)
+                        for at, where in matches(index, points, grams).items():
+                            owners += [row] * len(ids[at])
+                            found += [where] * len(ids[at])
+                            items.append(ids[at])
+                if items:
+                    columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(3)]
+                    yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(owners, pa.int64())),
+                                                      pa.concat_arrays(items), *columns], names=names)
 
     return run
 
