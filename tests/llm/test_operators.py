@@ -462,6 +462,52 @@ def test_shards_are_even_boxes(spark, docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_equal_texts_share_a_shard_where_sizes_allow(spark, docs):
+    rows = sharding.op10_kd_sharding(spark, SF).collect()
+    groups, mean = {}, sum(r["size"] for r in rows) / 40
+    for r in rows:
+        groups.setdefault(docs[r.doc_id] or "", []).append(r)
+    small = [g for g in groups.values() if len(g) > 1 and sum(r["size"] for r in g) <= sharding.GROUP_TOLERANCE * mean]
+    apart = sum(len({r.shard for r in g}) > 1 for g in groups.values() if len(g) > 1)
+    assert all(len({r.shard for r in g}) == 1 for g in small) and apart <= 39
+
+
+def test_shards_below_the_driver(spark, monkeypatch):
+    frame = spark.range(3000).selectExpr("id", "id * 7919 % 1009 AS x", "IF(id % 3 = 0, 5, id * 31 % 640) AS y", "id % 40 AS g", "id % 90 + 10 AS w")
+    by_size = {}
+    for nodes in (256, 4):
+        monkeypatch.setattr(sharding, "DRIVER_NODES", nodes)
+        rows = sharding.shard_rows(frame, [F.col("x"), F.col("y")], F.col("w"), F.col("id"), 11, group=F.col("g")).collect()
+        by_size[nodes] = {r.id: (r.shard, r.slot) for r in rows}
+    assert by_size[256] == by_size[4] and len({s for s, _ in by_size[4].values()}) == 11
+
+
+def test_slots_of_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ALL_PARTS", 3)  # fewer than shards: a shard's slots are numbered by one task
+    rows = sharding.shard_rows(spark.range(500), [F.col("id")], F.lit(1), F.col("id"), 4)
+    for r in rows.groupBy("shard").agg(F.sort_array(F.collect_list("slot"))).collect():
+        assert list(r[1]) == list(range(len(r[1])))
+
+
+def test_shards_are_those_of_a_plain_tree(spark):
+    rng = random.Random(8)
+    points = [(k, rng.randrange(1 << 20), rng.randrange(1 << 12)) for k in range(2000)]
+    found = sharding.shard_rows(spark.createDataFrame(points, "id long, x long, y long"), [F.col("x"), F.col("y")], F.lit(1), F.col("id"), 16)
+
+    def plain(rows, first, shards, spans):
+        if shards == 1:
+            return {r[0]: first for r in rows}
+        widths = [(max(r[d] for r in rows) - min(r[d] for r in rows)) / spans[d] for d in (1, 2)]
+        dim = 1 if widths[0] >= widths[1] else 2
+        cut = sorted(r[dim] for r in rows)[len(rows) // 2 - 1]
+        low, high = [r for r in rows if r[dim] <= cut], [r for r in rows if r[dim] > cut]
+        return plain(low, first, shards // 2, spans) | plain(high, first + shards // 2, shards // 2, spans)
+
+    wanted = plain(points, 0, 16, (1, 1 << 20, 1 << 12))
+    same = sum(wanted[r.id] == r.shard for r in found.collect())
+    assert same >= 1940, same  # values that several rows share are cut between those rows
+
+
 def test_sharding_edge_cases(spark, odd):
     dims = [F.char_length("text"), F.col("n_lines")]
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
