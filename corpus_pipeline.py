@@ -34,11 +34,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row of the smallest doc_id of each group of texts that share 0.8 of their shingles of five words; of
-    rows that repeat both doc_id and text, one."""
-    rows = _numbered(docs)
-    first = simhash.representatives(rows, "__id")
-    rows = rows.withColumn("sha", simhash.text_key()).dropDuplicates(["__id", "sha"])
-    return rows.join(first, ["__id", "sha"], "left_semi").select(*docs.columns)
+    rows that repeat both doc_id and text, one. SimHash groups give the first links, an index those beyond two bits."""
+    return simhash.drop_repeats(_numbered(docs), "__id").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tillroll.llm import byte_bpe, decontaminate, language, line_dedup, registry, repetition, sharding, simhash, token_ids, toxicity, warc
-from tillroll.llm.common import lookup, new_path
+from tillroll.llm.common import lookup, maybe_among, new_path
 
 SF = "/root/testdata/sf0.001"
 TEXTS = [None, "", " ", "\n\n", "one two", "a b c d e f g h i j k l", "The same line here\nother", "the same line here \nz",
@@ -364,6 +364,45 @@ def test_repeated_shingles_count_once(spark):
     assert ids == [k for k in range(9) if not any(a == k for a, _ in linked)] and ids[:6] == list(range(6))
 
 
+def test_near_dedup_starts_from_simhash_groups(spark, monkeypatch):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    texts = [" ".join(word() for _ in range(400)) for _ in range(4)]
+    close, far = texts[0], texts[1].split()
+    while close == texts[0] or (_fingerprint(close) ^ _fingerprint(texts[0])).bit_count() > 2:
+        close = texts[0].rsplit(" ", 1)[0] + " " + word()
+    while (_fingerprint(" ".join(far)) ^ _fingerprint(texts[1])).bit_count() <= 2:
+        far[rng.randrange(400)] = word()
+    phrase = " ".join(word() for _ in range(5))  # one fingerprint, unlike texts
+    alike = [" ".join([phrase] * 900 + [word() for _ in range(60)]) for _ in range(2)]
+    assert (_fingerprint(alike[0]) ^ _fingerprint(alike[1])).bit_count() <= 2
+    assert _jaccard(texts[1], " ".join(far)) >= simhash.SIMILARITY > _jaccard(*alike)
+    texts += [close, " ".join(far), *alike]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    seen, verified = [], simhash._verified
+
+    def spy(pairs, nodes, *rest):
+        ids = {r.node: r.id for r in nodes.select("node", "row.id").collect()}
+        seen.append({tuple(sorted((ids[r.a], ids[r.b]))) for r in pairs.collect()})
+        return verified(pairs, nodes, *rest)
+
+    monkeypatch.setattr(simhash, "_verified", spy)
+    near = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
+    assert sorted(r.doc_id for r in near.collect()) == [0, 1, 2, 3, 6, 7]
+    assert seen[0] == {(0, 4), (6, 7)} and (1, 5) in seen[1] and (0, 4) not in set().union(*seen[1:])
+
+
+def test_only_marked_keys_need_a_join(spark):
+    rows = spark.range(5000).selectExpr("id", "concat('k', id) AS sha")
+    wanted = rows.where("id % 50 = 0")
+    marked = maybe_among(rows, wanted, ["id", "sha"])
+    assert "hashpartitioning(id" not in marked._jdf.queryExecution().toString()
+    found = {r.id for r in marked.where("maybe").collect()}
+    assert found >= set(range(0, 5000, 50)) and len(found) < 110
+    assert marked.count() == 5000 and maybe_among(rows, wanted.limit(0), ["id", "sha"]).where("maybe").count() == 0
+
+
 def test_rows_of_one_id_are_told_apart(spark):
     rng = random.Random(13)
     word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))

@@ -18,6 +18,8 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 4 << 20
 #: Keys that ``lookup`` treats as hot: a table of this many rows is broadcast whatever the input size.
 HOT_KEYS = 1000
+#: Bits of the table by which ``maybe_among`` tells keys apart, in words of 64; broadcast whatever the input size.
+KEY_BITS = 1 << 24
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -75,6 +77,20 @@ def lookup(left: DataFrame, groups: DataFrame, key: str, weight: str, spread: Co
     return joined.select(*[c for c in left.columns if not c.startswith("__hot") and c != "__own_key"], *found)
 
 
+def maybe_among(df: DataFrame, wanted: DataFrame, keys: list[str], name: str = "maybe") -> DataFrame:
+    """Adds ``name``: true for every row whose ``keys`` are among ``wanted`` and for few others. Shuffles no row of ``df``.
+
+    A key sets one of ``KEY_BITS`` bits; these are broadcast as words. Only rows so marked need a join with ``wanted``.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(KEY_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = wanted.select(F.shiftright(place, 6).alias("__word"), bit.alias("__bit"))
+    words = words.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    found = df.withColumn("__word", F.shiftright(place, 6)).join(F.broadcast(words), "__word", "left")
+    marked = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return found.select(*df.columns, marked.alias(name))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows whose ``column`` has about ``limit`` bytes; one row may have more."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

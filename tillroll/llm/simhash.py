@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import forget, keep, lookup, starts, with_columns
+from tillroll.llm.common import forget, keep, lookup, maybe_among, starts, with_columns
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 #: The pipeline's near-duplicate stage: shingles of five words, similarity of the shingle sets.
@@ -232,7 +232,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     likely = keep(likely.select("a", "b"), "similar-likely")
     wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     wanted = keep(wanted.join(nodes, "node").select("node", "row.*"), "similar-wanted")
-    texts = docs.join(wanted, ["id", "sha"]).select("node", "__t")
+    texts = maybe_among(docs, wanted, ["id", "sha"]).where("maybe").join(wanted, ["id", "sha"]).select("node", "__t")
     sets = with_columns(texts, "__t", "hashes array<bigint>", lambda t: [_lists(list(_sets(t, shingle)))], ["node"])
     sets = sets.groupBy("node").agg(F.first("hashes").alias("hashes"))
     sets = keep(sets.select("node", F.size("hashes").cast("long").alias("n"), "hashes"), "similar-sets")
@@ -241,9 +241,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     return links
 
 
+def fingerprint_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, shingle: int = PIPELINE_SHINGLE) -> DataFrame:
+    """Links (``a``, ``b``) from ``nodes`` to the least node of their SimHash group, where at least ``similarity`` holds.
+
+    The groups are those of ``group_near_duplicates``; each link is checked on the complete sets.
+    """
+    grouped = group_near_duplicates(nodes.select("node", "fp"), "node")
+    pairs = grouped.where(F.col("node") != F.col("component_id")).select(F.col("node").alias("a"), F.col("component_id").alias("b"))
+    pairs = keep(pairs, "fingerprint-pairs")
+    links = _verified(pairs, nodes, docs, shingle, Fraction(str(similarity)))
+    forget(pairs)
+    return links
+
+
 def similar_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, shingle: int = PIPELINE_SHINGLE) -> DataFrame:
     """Links (``a``, ``b``) with the components that all pairs of ``nodes`` of at least ``similarity`` have.
 
+    The first come from SimHash groups; what those link is not compared again. A group holds fingerprints of at most two
+    differing bits, so many similar texts are in none, or are not similar to its first; an index finds all of those.
     Two sets of similarity s share a hash among the first n - ceil(s * n) + 1 of each, in any one order of all hashes,
     and that hash is early enough for what follows it to make up the overlap. So under each indexed hash a node is
     compared with the ``BEFORE`` nodes before it, by size; then, where more nodes share a hash, all pairs that
@@ -263,8 +278,12 @@ def similar_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILAR
                              F.count(F.lit(1)).over(W.partitionBy("value")).alias("rows"))
     entries = keep(entries.where(F.col("rows") > 1), "similar-entries")
     near = entries.select("x", F.explode("before").alias("y")).where(F.col("y").isNotNull())
-    pairs = candidates(near)
-    links = _verified(pairs, nodes, docs, shingle, part)
+    close, pairs = fingerprint_links(nodes, docs, similarity, shingle), candidates(near)
+    apart = pairs
+    for x in "ab":
+        apart = apart.join(close.select(F.col("a").alias(x), F.col("b").alias(f"r{x}")), x, "left")
+    apart = apart.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    links = close.union(_verified(apart, nodes, docs, shingle, part))
     forget(pairs)
     roots = components(links)
     large = entries.where(F.col("rows") > BEFORE + 1).select("value", "x", F.col("x.node").alias("node"))
@@ -283,23 +302,53 @@ def similar_links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILAR
     return links.union(more)
 
 
-def representatives(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``id_col`` (a long, not NULL) and ``sha`` (``text_key``) of the first row of each group of near duplicates.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("sha"), F.col(text_col).cast("string").alias("__t"))
+
 
-    Texts of one shingle set are one node, so exact copies cost one row. Texts without words are copies of each
-    other. A row is what id and text make it: rows that share an id are told apart by their texts.
+def members(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``id``, ``sha`` and ``rows`` of every distinct row, and ``first``, the (``id``, ``sha``) of the first row of its
+    group of near duplicates.
+
+    ``id_col`` is a long, not NULL; ``sha`` is ``text_key``. Texts of one shingle set are one node, so exact copies cost
+    one row. Texts without words are copies of each other. A row is what id and text make it: rows that share an id are
+    told apart by their texts.
     """
     part, common = Fraction(str(similarity)), common_shingles(docs, text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("sha"), F.col(text_col).cast("string").alias("__t"))
-    found = with_columns(rows, "__t", "digest binary, n long, prefix array<bigint>",
-                         lambda t: _prefixes(t, PIPELINE_SHINGLE, common, part), ["id", "sha"])
-    nodes = found.groupBy("digest").agg(F.min(F.struct("id", "sha")).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    nodes = keep(nodes.select(F.monotonically_increasing_id().alias("node"), "row", "n", "prefix"), "similar-nodes")
+    rows = _rows(docs, id_col, text_col)
+    found = with_columns(rows, "__t", "fp long, digest binary, n long, prefix array<bigint>",
+                         lambda t: [fingerprints(t), *_prefixes(t, PIPELINE_SHINGLE, common, part)], ["id", "sha"])
+    found = keep(found, "similar-rows")
+    nodes = found.groupBy("digest").agg(F.min(F.struct("id", "sha", "fp")).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    nodes = keep(nodes.select(F.monotonically_increasing_id().alias("node"), "digest", F.struct("row.id", "row.sha").alias("row"),
+                              F.col("row.fp").alias("fp"), "n", "prefix"), "similar-nodes")
+    keys = keep(found.groupBy("id", "sha").agg(F.count(F.lit(1)).alias("rows"), F.first("digest").alias("digest")), "similar-keys")
+    forget(found)
     roots = components(similar_links(nodes, rows, similarity))
-    firsts = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("row").alias("row"))
-    firsts = keep(firsts.select(F.col("row.id").alias(id_col), F.col("row.sha").alias("sha")), "similar-firsts")
-    forget(nodes)
-    return firsts
+    rooted = nodes.select("node", "digest", "row").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = rooted.groupBy("root").agg(F.min("row").alias("first"))
+    named = rooted.join(firsts, "root").select("digest", "first")
+    named = keep(keys.join(named, "digest").select("id", "sha", "rows", "first"), "similar-members")
+    forget(nodes, keys)
+    return named
+
+
+def representatives(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``id_col`` and ``sha`` of the first row of each group of near duplicates, see ``members``."""
+    firsts = members(docs, id_col, text_col, similarity).select("first").distinct()
+    return firsts.select(F.col("first.id").alias(id_col), F.col("first.sha").alias("sha"))
+
+
+def drop_repeats(docs: DataFrame, id_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The first row of each group of near duplicates, see ``members``; of rows that repeat both id and text, one.
+
+    Texts are shuffled only where the row is one to drop or a repeated one, or shares their bit in ``maybe_among``.
+    """
+    care = members(docs, id_col, text_col, similarity).withColumn("gone", F.struct("id", "sha") != F.col("first"))
+    care = keep(care.where(F.col("gone") | (F.col("rows") > 1)).select(F.col("id").alias(id_col), "sha", "gone"), "similar-care")
+    marked = maybe_among(docs.withColumn("sha", text_key(text_col)), care, [id_col, "sha"])
+    rest = marked.where("maybe").dropDuplicates([id_col, "sha"]).join(care.where("gone"), [id_col, "sha"], "left_anti")
+    return marked.where(~F.col("maybe")).select(*docs.columns).union(rest.select(*docs.columns))
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
