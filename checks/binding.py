@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tillroll.operators.lookups import join_in_parts
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
@@ -45,12 +47,8 @@ class Retail:
 
     @cached_property
     def sales(self) -> DataFrame:
-        """Line items with the day and customer of their order.
-
-        Orders are unique by key, so AQE may split the line items of a hot order and
-        repeat that one row.
-        """
-        joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        """Line items with the day and customer of their order."""
+        joined = join_in_parts(self.table("lineitem"), self.table("orders"), "l_orderkey", "o_orderkey")
         return joined.selectExpr(
             "CAST(o_orderdate AS DATE) AS t_dat",
             "o_custkey AS customer_id",
@@ -100,7 +98,7 @@ class Retail:
     @cached_property
     def raw_transactions(self) -> DataFrame:
         """Purchases as delivered text, some without a readable price or a customer."""
-        joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        joined = join_in_parts(self.table("lineitem"), self.table("orders"), "l_orderkey", "o_orderkey")
         price = F.expr(PRICE).cast("string")
         return joined.select(
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("t_dat"),

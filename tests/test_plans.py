@@ -272,3 +272,17 @@ def test_rows_that_compress_well_are_measured_too(spark, tmp_path, skewed):
     notes = spark.read.parquet(str(tmp_path / "notes"))
     assert not fits_broadcast(notes, skewed)
     assert fits_broadcast(notes.select("customer_id"), skewed)
+
+
+def test_tasks_of_the_order_join_keep_their_size(spark, no_broadcast, monkeypatch):
+    sold = lambda: Retail(spark, SF_DIR).sales
+    plain = lookups._estimate(Retail(spark, SF_DIR).table("lineitem"))
+    before = rows(sold().groupBy("sales_channel_id").agg(F.sum("price"), F.count("customer_id")).orderBy("sales_channel_id"))
+    for parts in (9, 27):  # tables of three times the size in tasks of one size
+        monkeypatch.setattr(lookups, "TASK_BYTES", -(-plain // parts))
+        plan = sold().select("article_id")._jdf.queryExecution().executedPlan().toString()
+        dealt = -(-plain // lookups.TASK_BYTES)
+        assert all(re.search(rf"hashpartitioning\({key}#\d+L, {dealt}\)", plan) for key in ("l_orderkey", "o_orderkey"))
+        assert plan.count("Exchange") == 2 and dealt > parts / 2
+        after = rows(sold().groupBy("sales_channel_id").agg(F.sum("price"), F.count("customer_id")).orderBy("sales_channel_id"))
+        assert after == before

@@ -136,6 +136,25 @@ def fits_broadcast(df: DataFrame, fact: DataFrame) -> bool:
     return cheap and measure(df, limit).fits
 
 
+# Bytes of the larger table, as Spark estimates them from its files, that one task of a shuffled join is to take.
+TASK_BYTES = 8 << 20
+
+
+def join_in_parts(fact: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
+    """Inner join on ``key`` and ``other_key`` whose tasks stay of one size as the tables grow.
+
+    A session has a fixed number of shuffle partitions, so the rows that a task sorts, and those that an aggregate
+    behind the join folds there, would grow with the tables. Tables that fit that number, or of which ``other`` may be
+    broadcast, are left to Spark. Larger ones are dealt by key into more partitions. AQE splits none of those, so
+    ``key`` should have no value with a task's share of rows, such as an order.
+    """
+    size = _estimate(other)
+    parts = -(-max(_estimate(fact), size) // TASK_BYTES)
+    if size > broadcast_limit(other) and parts > int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        fact, other = fact.repartition(parts, key), other.repartition(parts, other_key)
+    return fact.join(other, F.col(key) == F.col(other_key))
+
+
 def summarise(fact: DataFrame, by: Sequence[str], measures: Sequence[Measure],
               lookups: Sequence[Lookup] = ()) -> DataFrame:
     """Group ``fact`` by ``by`` (own columns or attributes of ``lookups``) and take ``measures``."""
